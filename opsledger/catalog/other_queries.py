@@ -17,7 +17,6 @@ TARGET_ITEM = 1
 ONE_USER = 1
 START_NODE = -1            # the order with key 0
 TARGET_NODE = -101         # the order with key 100
-HUB = t.SUPPLIER_NODE_BASE
 
 
 def item_avg_rating(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Log-line patterns.
-STAMP = r"(\d{2}-\d{2})\s(\d{2}:\d{2}:\d{2})\.(\d{%d,%d})"
+STAMP = r"\d{2}-\d{2}\s\d{2}:\d{2}:\d{2}\.\d{%d,%d}"
 MESSAGE_FORMS = {
     "colon": r"[IDEW]\D{0,100}?:(.*)",
     "letter": r"[ID|E](.*)",
@@ -16,18 +16,14 @@ CLOCK = r"(\d{2}:\d{2}(?::\d{2})?)"
 
 
 def _group(line: Column, pattern: str, index: int) -> Column:
-    """One capture group, NULL (not '') where the pattern does not occur."""
-    return F.when(line.rlike(pattern), F.regexp_extract(line, pattern, index))
+    """One capture group of the first match, NULL (not '') where the pattern does not occur."""
+    return F.get(F.regexp_extract_all(line, F.lit(pattern), F.lit(index)), F.lit(0))
 
 
 def event_time(line: Column, year: int, min_fraction: int = 0, max_fraction: int = 6) -> Column:
     """``MM-dd HH:mm:ss.f`` anywhere in the line as TIMESTAMP_NTZ; NULL if absent or impossible."""
-    stamp = STAMP % (min_fraction, max_fraction)
-    found = F.regexp_extract(line, stamp, 0)
-    day_and_clock = F.regexp_replace(F.split_part(found, F.lit("."), F.lit(1)), r"\s", " ")
-    fraction = F.rpad(F.split_part(found, F.lit("."), F.lit(2)), 6, "0")
-    text = F.concat(F.lit(f"{year}-"), day_and_clock, F.lit("."), fraction)
-    return F.when(found != "", text.try_cast("timestamp_ntz"))
+    found = F.regexp_extract(line, STAMP % (min_fraction, max_fraction), 0)
+    return F.concat(F.lit(f"{year}-"), found).try_cast("timestamp_ntz")
 
 
 def message(line: Column, form: str = "colon") -> Column:

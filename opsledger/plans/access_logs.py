@@ -9,28 +9,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from opsledger.functions import access_log as al
 from opsledger.operators import windows
+from opsledger.operators.compute import with_computed
 
 STATUS_LENGTH_LIMIT = 210
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """Typed access-log entries; failures carry ``parse_error``. Other input columns are kept."""
-    parts = lines.withColumn("_parts", al.field_array(F.col("value")))
-    texts = parts.select(
-        *[c for c in lines.columns],
-        F.col("_parts").isNotNull().alias("_ok"),
-        *[al.field(F.col("_parts"), name).alias(name) for name in al.FIELDS],
-    )
-    typed = texts.select(
-        *lines.columns, "ip", "client", "user",
-        al.event_time(F.col("date_text")).alias("ts"),
-        "request", al.request_url(F.col("request")).alias("url"),
-        F.when(F.length("status_text") < STATUS_LENGTH_LIMIT, F.col("status_text").try_cast("int")).alias("status"),
-        F.col("bytes_text").try_cast("bigint").alias("bytes"),
-        "referer", "agent", "_ok",
-    )
-    error = F.when(~F.col("_ok"), "bad line").when(F.col("ts").isNull(), "bad date")
-    return typed.withColumn("parse_error", error).drop("_ok")
+    split = with_computed(lines, {"_parts": al.field_array(F.col("value"))})
+    text = {name: al.field(F.col("_parts"), name) for name in al.FIELDS}
+    status = F.when(F.length(text["status_text"]) < STATUS_LENGTH_LIMIT, text["status_text"].try_cast("int"))
+    typed = with_computed(split, {
+        "ip": text["ip"], "client": text["client"], "user": text["user"],
+        "ts": al.event_time(text["date_text"]),
+        "request": text["request"], "url": al.request_url(text["request"]),
+        "status": status,
+        "bytes": text["bytes_text"].try_cast("bigint"),
+        "referer": text["referer"], "agent": text["agent"],
+    })
+    error = F.when(F.col("_parts").isNull(), "bad line").when(F.col("ts").isNull(), "bad date")
+    return typed.withColumn("parse_error", error).drop("_parts")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from opsledger.functions import cleaning, device_log as dl, predicates as p
 from opsledger.operators import joins, ranking, windows
+from opsledger.operators.compute import with_computed
 from opsledger.operators.dedup import first_per_key
 
 MESSAGE_LENGTH_LIMIT = 60
@@ -21,8 +22,10 @@ def parse(records: DataFrame, year: int, form: str = "colon", min_fraction: int
     Every input column except ``value`` is kept.
     """
     message = cleaning.without_digits(dl.message(F.col("value"), form))
-    parsed = records.withColumn("ts", dl.event_time(F.col("value"), year, min_fraction, max_fraction))
-    parsed = parsed.withColumn("message", F.trim(message) if trim else message)
+    parsed = with_computed(records, {
+        "ts": dl.event_time(F.col("value"), year, min_fraction, max_fraction),
+        "message": F.trim(message) if trim else message,
+    })
     return parsed.withColumn("char_count", F.length("message")).withColumn(
         "parse_error",
         F.when(F.col("ts").isNull(), "no timestamp").when(F.col("message").isNull(), "no message"),
@@ -60,11 +63,10 @@ def severity_counts(messages: DataFrame, start: datetime, end: datetime, min_cod
 
 def run_messages(records: DataFrame, year: int, drop_ids: bool = True, failures_only: bool = True) -> DataFrame:
     """Normalised messages of one run, failure-like ones only unless told otherwise."""
-    parsed = records.select(
-        "*",
-        dl.event_time(F.col("value"), year).alias("ts"),
-        F.trim(cleaning.normalised_message(dl.message(F.col("value")), drop_ids)).alias("message"),
-    ).where(F.col("message").isNotNull())
+    parsed = with_computed(records, {
+        "ts": dl.event_time(F.col("value"), year),
+        "message": F.trim(cleaning.normalised_message(dl.message(F.col("value")), drop_ids)),
+    }).where(F.col("message").isNotNull())
     return parsed.where(p.mentions_any(F.col("message"))) if failures_only else parsed
 
 
@@ -84,7 +86,7 @@ def search(lines: DataFrame, fragments: Sequence[str], column: str = "value") ->
 
 def word_filter(lines: DataFrame, drop: int = 6, wanted: Sequence[str] = p.ALERT_WORDS) -> DataFrame:
     """Shortened lines (``stamp> tail``) that mention a wanted word."""
-    short = lines.withColumn("text", dl.stamped_tail(F.col("value"), drop, "> "))
+    short = with_computed(lines, {"text": dl.stamped_tail(F.col("value"), drop, "> ")})
     return short.where(p.has_words(F.col("text"), wanted)).drop("value")
 
 
@@ -152,9 +154,8 @@ def average_length_sliding(messages: DataFrame, size: timedelta, slide: timedelt
 def coded_sentences(lines: DataFrame) -> DataFrame:
     """``<timestamp> code sentence`` lines; others are left out."""
     value = F.col("value")
-    return lines.select(
-        "*",
-        dl.bracketed_time(value).alias("ts"),
-        dl.bracketed_code(value).alias("code"),
-        dl.bracketed_text(value).alias("text"),
-    ).where(F.col("ts").isNotNull()).drop("value")
+    return with_computed(lines, {
+        "ts": dl.bracketed_time(value),
+        "code": dl.bracketed_code(value),
+        "text": dl.bracketed_text(value),
+    }).where(F.col("ts").isNotNull()).drop("value")

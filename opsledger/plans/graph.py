@@ -84,6 +84,7 @@ def separation(edge_table: DataFrame, start: int, target: int | None = None,
     stored = spark.read.parquet(f"{folder}/edges")
     joins.hot_keys(stored, "src").write.parquet(f"{folder}/hot")
     hot = spark.read.parquet(f"{folder}/hot")
+    skewed = not hot.isEmpty()
 
     schema = "node bigint, hits bigint, distance int"
     spark.range(1).select(
@@ -95,7 +96,8 @@ def separation(edge_table: DataFrame, start: int, target: int | None = None,
         frontier = spark.read.schema("node bigint").parquet(f"{folder}/levels/distance={rounds}")
         visited = spark.read.schema(schema).parquet(f"{folder}/levels").select("node")
         rounds += 1
-        step = joins.skew_join(stored, frontier.withColumnRenamed("node", "src"), "src", hot=hot)
+        frontier = frontier.withColumnRenamed("node", "src")
+        step = joins.skew_join(stored, frontier, "src", hot=hot) if skewed else stored.join(frontier, "src")
         reached = step.groupBy(F.col("dst").alias("node")).agg(F.sum("n").alias("hits"))
         level = f"{folder}/levels/distance={rounds}"
         reached.join(visited, "node", "left_anti").write.parquet(level)

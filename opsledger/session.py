@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "opsledger", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -47,3 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; it is not created here."""
     return f"{shared_dir(spark)}/opsledger/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame computed once and stored in the shared folder, so later uses do not repeat its work."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from opsledger.operators.compute import with_computed
 from opsledger.operators.dedup import first_per_key
 from opsledger.sources.files import read_table
 
@@ -59,9 +60,9 @@ def device_records(events: DataFrame) -> DataFrame:
     stamp = F.when(v % 11 == 3, "no-stamp").when(u % 3 == 0, F.substring(full, 1, 18)).otherwise(full)
     body = F.when(v % 13 == 5, "truncated").otherwise(F.concat(F.lit("svc_"), kind, F.lit(": "), message))
     line = F.concat_ws(" ", stamp, _text(10000 + u), F.lit("12345"), level, body)
-    return events.select(
+    return with_computed(events, {"line": line}).select(
         F.concat(F.lit("device_"), _text(u % 30)).alias("topic"),
-        line.alias("value"),
+        F.col("line").alias("value"),
         F.col("ts").alias("timestamp"),
         F.col("event_id").alias("key"),
     )
@@ -101,7 +102,7 @@ def access_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
         ip, F.lit(" - user"), _text(u), date, F.lit(' "'), request, F.lit('" '), status, F.lit(" "), size,
         F.lit(' "-" "Browser/'), _text(u % 5), F.lit(' (test)"'),
     )
-    return visits.select(F.col("event_id").alias("key"), line.alias("value"))
+    return with_computed(visits, {"line": line}).select(F.col("event_id").alias("key"), F.col("line").alias("value"))
 
 
 def alert_records(events: DataFrame) -> DataFrame:
