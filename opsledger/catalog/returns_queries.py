@@ -40,23 +40,23 @@ def returns_pending_reasons(spark, d):
 
 
 def returns_reason_customer(spark, d):
-    return r.reason_customer(t.return_documents(spark, d), START)
+    return r.reason_customer(t.return_documents(spark, d, customers=True), START)
 
 
 def returns_customer_totals(spark, d):
-    return r.customer_totals(t.return_documents(spark, d), START)
+    return r.customer_totals(t.return_documents(spark, d, customers=True), START)
 
 
 def returns_pending_before(spark, d):
-    return r.pending_before(t.return_documents(spark, d), BEFORE)
+    return r.pending_before(t.return_documents(spark, d, customers=True), BEFORE)
 
 
 def returns_gen1(spark, d):
-    return r.generation(t.return_documents(spark, d), second=False, start=START)
+    return r.generation(t.return_documents(spark, d, customers=True), second=False, start=START)
 
 
 def returns_gen2(spark, d):
-    return r.generation(t.return_documents(spark, d), second=True, start=START)
+    return r.generation(t.return_documents(spark, d, customers=True), second=True, start=START)
 
 
 def returns_pending_by_type(spark, d):
@@ -101,14 +101,14 @@ def csv_header_clean(spark, d):
 def report_text_single_file(spark, d):
     """A finished report as one text file, read back line by line."""
     path = new_run_dir(spark, "customer-totals")
-    sinks.write_single_text(r.customer_totals(t.return_documents(spark, d), START), path)
+    sinks.write_single_text(r.customer_totals(t.return_documents(spark, d, customers=True), START), path)
     return files.read_lines(spark, path).withColumnRenamed("value", "line")
 
 
 def report_text_parts(spark, d):
     """A detail report as ordered, compressed text parts, read back line by line."""
     path = new_run_dir(spark, "gen2")
-    sinks.write_text_report(r.generation(t.return_documents(spark, d), second=True, start=START), path, "gzip")
+    sinks.write_text_report(r.generation(t.return_documents(spark, d, customers=True), second=True, start=START), path, "gzip")
     return files.read_lines(spark, path).withColumnRenamed("value", "line")
 
 

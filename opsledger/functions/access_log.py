@@ -15,14 +15,13 @@ DATE_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 _MARK = "\u0001"
 
 
-def field_array(line: Column) -> Column:
-    """The nine fields of a valid line, NULL for any other.
+def split_fields(line: Column) -> Column:
+    """The nine fields of a valid line; for any other line an array of another size.
 
     The pattern runs once: matched groups are re-joined by a control character and split again.
     """
     joined = F.regexp_replace(line, LINE, _MARK.join(f"${i}" for i in range(1, 10)))
-    parts = F.split(joined, _MARK)
-    return F.when(F.size(parts) == len(FIELDS), parts)
+    return F.split(joined, _MARK)
 
 
 def field(parts: Column, name: str) -> Column:

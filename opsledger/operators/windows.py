@@ -52,12 +52,10 @@ def sliding(df: DataFrame, time: str, size: timedelta, slide: timedelta, keys: S
         buckets.withColumn("at", F.col("bucket.start"))
         .withColumn("latest", latest)
         .withColumn("window_start", F.explode(F.sequence(F.col("latest") - reach, F.col("latest"), every)))
-        .withColumn("window_end", F.col("window_start") + span)
-        .where(F.col("window_end") > F.col("at"))
-    )
-    return spread.groupBy("window_start", "window_end", *keys).agg(
-        *[F.sum(n).alias(n) for n in measures]
+        .where(F.col("window_start") + span > F.col("at"))
     )
+    totals = spread.groupBy("window_start", *keys).agg(*[F.sum(n).alias(n) for n in measures])
+    return totals.select("window_start", (F.col("window_start") + span).alias("window_end"), *keys, *measures)
 
 
 def _flat(grouped: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:

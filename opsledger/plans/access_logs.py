@@ -16,19 +16,19 @@ STATUS_LENGTH_LIMIT = 210
 
 def parse(lines: DataFrame) -> DataFrame:
     """Typed access-log entries; failures carry ``parse_error``. Other input columns are kept."""
-    split = with_computed(lines, {"_parts": al.field_array(F.col("value"))})
-    text = {name: al.field(F.col("_parts"), name) for name in al.FIELDS}
+    split = with_computed(lines, {"_fields": al.split_fields(F.col("value"))})
+    valid = F.size("_fields") == len(al.FIELDS)
+    text = {name: F.when(valid, al.field(F.col("_fields"), name)) for name in al.FIELDS}
     status = F.when(F.length(text["status_text"]) < STATUS_LENGTH_LIMIT, text["status_text"].try_cast("int"))
-    typed = with_computed(split, {
-        "ip": text["ip"], "client": text["client"], "user": text["user"],
-        "ts": al.event_time(text["date_text"]),
-        "request": text["request"], "url": al.request_url(text["request"]),
-        "status": status,
-        "bytes": text["bytes_text"].try_cast("bigint"),
-        "referer": text["referer"], "agent": text["agent"],
-    })
-    error = F.when(F.col("_parts").isNull(), "bad line").when(F.col("ts").isNull(), "bad date")
-    return typed.withColumn("parse_error", error).drop("_parts")
+    timed = with_computed(split, {"ts": al.event_time(text["date_text"])})
+    typed = timed.select(
+        *lines.columns, text["ip"].alias("ip"), text["client"].alias("client"), text["user"].alias("user"), "ts",
+        text["request"].alias("request"), al.request_url(text["request"]).alias("url"), status.alias("status"),
+        text["bytes_text"].try_cast("bigint").alias("bytes"), text["referer"].alias("referer"),
+        text["agent"].alias("agent"), valid.alias("_valid"),
+    )
+    error = F.when(~F.col("_valid"), "bad line").when(F.col("ts").isNull(), "bad date")
+    return typed.withColumn("parse_error", error).drop("_valid")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

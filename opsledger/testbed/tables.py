@@ -142,12 +142,13 @@ def alert_lines(nation: DataFrame) -> DataFrame:
 
 
 def error_code_lines(spark: SparkSession) -> DataFrame:
-    rows = [(line, i) for i, line in enumerate(ERROR_CODE_LINES)]
-    return spark.createDataFrame(rows, "value string, position int")
+    rows = ", ".join(f"(:line{i}, {i})" for i in range(len(ERROR_CODE_LINES)))
+    values = {f"line{i}": line for i, line in enumerate(ERROR_CODE_LINES)}
+    return spark.sql(f"SELECT value, position FROM VALUES {rows} AS lines(value, position)", values)
 
 
-def _described(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Line-item rows as returns records."""
+def _described(lines: DataFrame, spark: SparkSession, folder: str, customers: bool) -> DataFrame:
+    """Line-item rows as returns records; reports without customers skip that join."""
     orders = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority"
     )
@@ -155,7 +156,8 @@ def _described(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_size"
     )
     customer = read_table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    rows = lines.join(orders, "l_orderkey").join(part, "l_partkey").join(customer, "o_custkey")
+    rows = lines.join(orders, "l_orderkey").join(part, "l_partkey")
+    rows = rows.join(customer, "o_custkey") if customers else rows.withColumn("c_name", F.lit(None).cast("string"))
 
     kind = F.concat("l_returnflag", F.substring("o_orderpriority", 1, 1))
     category = (
@@ -201,12 +203,12 @@ def _described(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def return_lines(spark: SparkSession, folder: str) -> DataFrame:
+def return_lines(spark: SparkSession, folder: str, customers: bool = False) -> DataFrame:
     """The returns export: several lines per document."""
-    return _described(read_table(spark, folder, "lineitem"), spark, folder)
+    return _described(read_table(spark, folder, "lineitem"), spark, folder, customers)
 
 
-def return_documents(spark: SparkSession, folder: str) -> DataFrame:
+def return_documents(spark: SparkSession, folder: str, customers: bool = False) -> DataFrame:
     """One surviving line per document.
 
     A document is an order, so the survivor is chosen on the line items themselves and only
@@ -216,7 +218,7 @@ def return_documents(spark: SparkSession, folder: str) -> DataFrame:
         read_table(spark, folder, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"],
     )
-    return _described(lines, spark, folder)
+    return _described(lines, spark, folder, customers)
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
