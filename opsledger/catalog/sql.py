@@ -61,7 +61,9 @@ NORMAL_MESSAGE = r"""trim(regexp_replace(
 
 ACCESS_LINES = r"""
 ev AS (
-  SELECT event_id, ts, user_id AS u, event_type AS kind, CAST(floor(value) AS BIGINT) AS v FROM events
+  SELECT event_id, ts, user_id AS u, event_type AS kind, CAST(floor(value) AS BIGINT) AS v,
+    event_id % (SELECT count(*) FROM pages) AS visited
+  FROM events
 ),
 access_lines AS (
   SELECT event_id AS "key", ts AS event_ts, u, v, kind, url,
@@ -74,7 +76,7 @@ access_lines AS (
          WHEN 'purchase' THEN '201' ELSE '200' END END)
     || ' ' || (CASE WHEN v % 9 = 0 THEN '-' ELSE CAST(v * 100 AS VARCHAR) END)
     || ' "-" "Browser/' || (u % 5) || ' (test)"' AS value
-  FROM ev JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)
+  FROM ev JOIN pages ON page_id = visited
 ),
 access_fields AS (
   SELECT "key", value,

@@ -10,8 +10,8 @@ LINE = (
     r"^(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})? (\S+) (\S+) (\[.+?\])"
     r' "(.*?)" (\d{3}) (\S+) "(.*?)" "(.*?)"$'
 )
-DATE = r"\[(.*?) .+\]"
-DATE_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
+DATE = r"^\[(\d{1,2})/(\w{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2}) .+\]$"
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 _MARK = "\u0001"
 
 
@@ -29,9 +29,11 @@ def field(parts: Column, name: str) -> Column:
 
 
 def event_time(date_text: Column) -> Column:
-    """``[dd/MMM/yyyy:HH:mm:ss zone]`` with the zone dropped, as TIMESTAMP_NTZ."""
-    text = F.regexp_extract(date_text, DATE, 1)
-    return F.try_to_timestamp(text, F.lit(DATE_FORMAT)).cast("timestamp_ntz")
+    """``[dd/MMM/yyyy:HH:mm:ss zone]`` with the zone dropped, as TIMESTAMP_NTZ; NULL if damaged."""
+    named = F.regexp_replace(date_text, DATE, "$3-$2-$1 $4")
+    place = F.position(F.substring(named, 6, 3), F.lit(MONTHS))
+    month = F.when(place % 3 == 1, F.lpad(F.floor((place + 2) / 3).cast("string"), 2, "0"))
+    return F.concat(F.substring(named, 1, 5), month, F.substring(named, 9, 12)).try_cast("timestamp_ntz")
 
 
 def request_url(request: Column) -> Column:
