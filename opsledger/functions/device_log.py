@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from opsledger.functions.text import tokens
+
 # Log-line patterns.
 STAMP = r"\d{2}-\d{2}\s\d{2}:\d{2}:\d{2}\.\d{%d,%d}"
 MESSAGE_FORMS = {
@@ -48,20 +50,16 @@ def clock(line: Column) -> Column:
     return F.coalesce(_group(line, CLOCK, 1), F.lit("0"))
 
 
-def _tokens(line: Column) -> Column:
-    return F.split(F.rtrim(line), r"\s+")
-
-
 def drop_tokens(line: Column, count: int) -> Column:
     """The line without its first ``count`` blank-separated tokens."""
-    tokens = _tokens(line)
-    return F.array_join(F.slice(tokens, count + 1, F.greatest(F.size(tokens), F.lit(1))), " ")
+    parts = tokens(line)
+    return F.array_join(F.slice(parts, count + 1, F.greatest(F.size(parts), F.lit(1))), " ")
 
 
 def stamped_tail(line: Column, count: int, separator: str) -> Column:
     """Second token (when there are more than three), separator, then the tail after ``count`` tokens."""
-    tokens = _tokens(line)
-    stamp = F.when(F.size(tokens) > 3, F.get(tokens, F.lit(1))).otherwise(F.lit(""))
+    parts = tokens(line)
+    stamp = F.when(F.size(parts) > 3, F.get(parts, F.lit(1))).otherwise(F.lit(""))
     return F.concat(stamp, F.lit(separator), drop_tokens(line, count))
 
 

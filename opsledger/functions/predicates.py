@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from opsledger.functions.text import has_word
+
 # Filter words of the log reports.
 FAILURE_WORDS = ("error", "warning", "fail", "crash")
 ALERT_WORDS = ("error", "warning")
@@ -37,10 +39,7 @@ def contains_in_order(text: Column, fragments: Sequence[str]) -> Column:
 def has_words(line: Column, wanted: Sequence[str], unwanted: Sequence[str] = ("info",),
               max_length: int = LINE_LENGTH_LIMIT) -> Column:
     """Short line whose whole words include a wanted and no unwanted one."""
-    words = F.split(F.lower(line), r"\W")
-    keep = F.arrays_overlap(words, F.array(*[F.lit(w) for w in wanted]))
-    drop = F.arrays_overlap(words, F.array(*[F.lit(w) for w in unwanted]))
-    return (F.length(line) < max_length) & keep & ~drop
+    return (F.length(line) < max_length) & has_word(line, wanted) & ~has_word(line, unwanted)
 
 
 def _instant(value: datetime) -> Column:

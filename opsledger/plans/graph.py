@@ -6,31 +6,33 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from opsledger.functions.text import tokens
 from opsledger.operators import joins, ranking
+from opsledger.operators.compute import with_computed
 from opsledger.session import new_run_dir
 
 MAX_ROUNDS = 10
 
 
-def line_degrees(lines: DataFrame) -> DataFrame:
-    """``node, degree`` per adjacency line (``node neighbour neighbour ...``)."""
-    tokens = F.split(F.trim("value"), r"\s+")
-    return lines.select(
-        F.get(tokens, F.lit(0)).try_cast("bigint").alias("node"),
-        (F.size(tokens) - 1).cast("bigint").alias("degree"),
+def _adjacency(lines: DataFrame) -> DataFrame:
+    """``node, neighbours`` per line ``node neighbour neighbour ...``; lines without a node id are left out."""
+    split = with_computed(lines, {"_tokens": tokens(F.trim("value"))})
+    return split.select(
+        F.get("_tokens", F.lit(0)).try_cast("bigint").alias("node"),
+        F.slice("_tokens", 2, F.size("_tokens")).alias("neighbours"),
     ).where(F.col("node").isNotNull())
 
 
+def line_degrees(lines: DataFrame) -> DataFrame:
+    """``node, degree`` per adjacency line."""
+    return _adjacency(lines).select("node", F.size("neighbours").cast("bigint").alias("degree"))
+
+
 def edges(lines: DataFrame) -> DataFrame:
     """Directed edges with their multiplicity; a node may span several lines."""
-    tokens = F.split(F.trim("value"), r"\s+")
-    pairs = lines.select(
-        F.get(tokens, F.lit(0)).try_cast("bigint").alias("src"),
-        F.explode(F.slice(tokens, 2, F.size(tokens))).alias("neighbour"),
-    ).select("src", F.col("neighbour").try_cast("bigint").alias("dst"))
-    return pairs.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).groupBy("src", "dst").agg(
-        F.count("*").alias("n")
-    )
+    pairs = _adjacency(lines).select(F.col("node").alias("src"), F.explode("neighbours").alias("neighbour"))
+    pairs = pairs.select("src", F.col("neighbour").try_cast("bigint").alias("dst")).where(F.col("dst").isNotNull())
+    return pairs.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def node_degrees(lines: DataFrame) -> DataFrame:

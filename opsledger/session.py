@@ -17,6 +17,8 @@ def build_session(app: str = "opsledger", cpus: int | str = "*", **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.driver.memory": "12g",
+        # call-site capture for every column expression only slows plan building
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | conf
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for key, value in settings.items():

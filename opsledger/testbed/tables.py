@@ -247,7 +247,7 @@ def graph_lines(lineitem: DataFrame) -> DataFrame:
         F.concat_ws(" ", part, order),
         F.when(returned, F.concat_ws(" ", supplier, order)),
     )
-    return lineitem.select(F.explode(F.array_compact(lines)).alias("value"))
+    return lineitem.select(F.explode(lines).alias("value")).where(F.col("value").isNotNull())
 
 
 def name_lines(part: DataFrame) -> DataFrame:
