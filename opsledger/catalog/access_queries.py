@@ -10,6 +10,7 @@ from opsledger.catalog import sql as q
 from opsledger.functions import access_log as al
 from opsledger.plans import access_logs as access
 from opsledger.sources.files import read_table
+from opsledger.sources.views import views
 from opsledger.testbed import tables as t
 
 
@@ -55,6 +56,12 @@ def agent_counts_per_batch(spark, d):
     return access.agent_counts(daily, ["day"])
 
 
+def agent_counts_sql(spark, d):
+    """The same entries as a temporary view under plain SQL."""
+    with views(requests=entries(spark, d)) as run:
+        return run("SELECT agent, count(*) AS total FROM requests GROUP BY agent")
+
+
 def error_ratio_alarm(spark, d):
     out = access.error_alarm(entries(spark, d), timedelta(days=1), timedelta(hours=1))
     return out.select("window_start", "success", "failure", "other", "ratio", "state")
@@ -63,10 +70,24 @@ def error_ratio_alarm(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         access_log_parse, access_log_rejects, access_quick_fields, top_urls_sliding, status_hourly,
-        agent_counts_per_batch, error_ratio_alarm,
+        agent_counts_per_batch, agent_counts_sql, error_ratio_alarm,
     )
 }
 
+def alarm_sql(size: int, slide: int) -> str:
+    return f"""WITH {q.ACCESS_LINES},
+        spread AS (SELECT status, {q.window_starts('ts', size, slide)} AS w FROM entries),
+        tallied AS (SELECT w, count(*) FILTER (WHERE status >= 200 AND status < 300) AS success,
+          count(*) FILTER (WHERE status >= 500 AND status < 600) AS failure,
+          count(*) FILTER (WHERE status < 200 OR (status >= 300 AND status < 500) OR status >= 600) AS other
+          FROM spread GROUP BY w)
+        SELECT {q.instant('w')} AS window_start, success, failure, other,
+          CASE WHEN success > 0 THEN CAST(failure AS DOUBLE) / success END AS ratio,
+          CASE WHEN success + failure <= 100 THEN 'too few' WHEN success = 0 THEN 'alarm'
+               WHEN CAST(failure AS DOUBLE) / success > 0.5 THEN 'alarm' ELSE 'ok' END AS state
+        FROM tallied"""
+
+
 SQL = {
     "access_log_parse": f"""WITH {q.ACCESS_LINES}
         SELECT "key", ip, ts, url, status, bytes, agent FROM entries""",
@@ -85,15 +106,7 @@ SQL = {
         GROUP BY 1, 2 ORDER BY 1, 2""",
     "agent_counts_per_batch": f"""WITH {q.ACCESS_LINES}
         SELECT CAST(ts AS DATE) AS day, agent, count(*) AS total FROM entries GROUP BY 1, 2""",
-    "error_ratio_alarm": f"""WITH {q.ACCESS_LINES},
-        spread AS (SELECT status, {q.window_starts('ts', 86400, 3600)} AS w FROM entries),
-        tallied AS (SELECT w, count(*) FILTER (WHERE status >= 200 AND status < 300) AS success,
-          count(*) FILTER (WHERE status >= 500 AND status < 600) AS failure,
-          count(*) FILTER (WHERE status < 200 OR (status >= 300 AND status < 500) OR status >= 600) AS other
-          FROM spread GROUP BY w)
-        SELECT {q.instant('w')} AS window_start, success, failure, other,
-          CASE WHEN success > 0 THEN CAST(failure AS DOUBLE) / success END AS ratio,
-          CASE WHEN success + failure <= 100 THEN 'too few' WHEN success = 0 THEN 'alarm'
-               WHEN CAST(failure AS DOUBLE) / success > 0.5 THEN 'alarm' ELSE 'ok' END AS state
-        FROM tallied""",
+    "error_ratio_alarm": alarm_sql(86400, 3600),
+    "agent_counts_sql": f"""WITH {q.ACCESS_LINES}
+        SELECT agent, count(*) AS total FROM entries GROUP BY agent""",
 }

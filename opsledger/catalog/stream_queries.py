@@ -9,7 +9,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from opsledger.catalog import device_queries as dq, sql as q
+from opsledger.catalog import access_queries as aq, device_queries as dq, sql as q
 from opsledger.operators import windows
 from opsledger.plans import access_logs as access, alerts as alert_plans, device_logs as logs
 from opsledger.session import new_run_dir
@@ -63,17 +63,53 @@ def stream_foreach_batch(spark, d):
     return rows.groupBy("topic").agg(F.count("*").alias("lines"), F.sum("char_count").alias("chars"))
 
 
+def _stream_entries(spark, d, folder: str, delay: str | None) -> DataFrame:
+    """A folder of access-log text files, written from the tables, as a stream of entries."""
+    t.access_lines(read_table(spark, d, "events"), read_table(spark, d, "pages")).select("value").write.text(folder)
+    return runner.event_time(access.accepted(access.parse(line_stream(spark, folder))), "ts", delay)
+
+
 def stream_status_hourly(spark, d):
-    """A folder of access-log text files as a stream, in complete mode."""
+    """Complete mode: the ordered table is replaced by every micro-batch."""
     out = new_run_dir(spark, "stream-status")
-    t.access_lines(read_table(spark, d, "events"), read_table(spark, d, "pages")).select("value").write.text(f"{out}/in")
-    entries = runner.event_time(access.accepted(access.parse(line_stream(spark, f"{out}/in"))), "ts", None)
+    entries = _stream_entries(spark, d, f"{out}/in", None)
     counts = access.status_hourly(entries).orderBy("window_start", "status")
     runner.run_to_end(counts, sinks.latest_table(f"{out}/rows"), f"{out}/checkpoint", "complete")
     rows = spark.read.schema(counts.schema).parquet(f"{out}/rows")
     return _plain_time(rows.select("window_start", "status", "requests"), "window_start")
 
 
+def stream_top_urls(spark, d):
+    """Sliding URL counts; each micro-batch writes its changed windows, sorted by count."""
+    out = new_run_dir(spark, "stream-urls")
+    entries = _stream_entries(spark, d, f"{out}/in", "1 hour")
+    counts = access.url_counts(entries, SIX_HOURS, timedelta(hours=3))
+    write = sinks.batch_table(f"{out}/rows", prepare=lambda b: b.orderBy(F.col("requests").desc(), "window_start", "url"))
+    runner.run_to_end(counts, write, f"{out}/checkpoint", "update")
+    rows = sinks.read_latest(spark, f"{out}/rows", counts.schema, ["window_start", "url"])
+    return _plain_time(rows.select("window_start", "url", "requests"), "window_start")
+
+
+def stream_error_alarm(spark, d):
+    """The error-ratio alarm per sliding window, re-evaluated whenever a window changes."""
+    out = new_run_dir(spark, "stream-alarm")
+    entries = _stream_entries(spark, d, f"{out}/in", "1 hour")
+    alarms = access.error_alarm(entries, timedelta(days=1), timedelta(hours=6))
+    runner.run_to_end(alarms, sinks.batch_table(f"{out}/rows"), f"{out}/checkpoint", "update")
+    rows = sinks.read_latest(spark, f"{out}/rows", alarms.schema, ["window_start"])
+    return _plain_time(rows.drop("window_end"), "window_start")
+
+
+def stream_repeated_messages(spark, d):
+    """Complete mode with a bound on the counts, newest window first."""
+    out = new_run_dir(spark, "stream-repeated")
+    counts = logs.message_windows(_stream_messages(spark, d, "2 seconds"), SIX_HOURS)
+    counts = counts.orderBy(F.col("window_start").desc(), F.col("occurrences").desc(), "message")
+    runner.run_to_end(counts, sinks.latest_table(f"{out}/rows"), f"{out}/checkpoint", "complete")
+    rows = spark.read.schema(counts.schema).parquet(f"{out}/rows")
+    return _plain_time(rows.select("window_start", "message", "occurrences"), "window_start")
+
+
 def stream_alert_totals(spark, d):
     """Running totals without a window, alert wording joined from a static table."""
     out = new_run_dir(spark, "stream-alerts")
@@ -112,7 +148,8 @@ def read_table_like(stream: DataFrame) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        stream_tumbling_counts, stream_append_late, stream_foreach_batch, stream_status_hourly, stream_alert_totals,
+        stream_tumbling_counts, stream_append_late, stream_foreach_batch, stream_status_hourly, stream_top_urls,
+        stream_error_alarm, stream_repeated_messages, stream_alert_totals,
         stream_device_windows, stream_batch_averages,
     )
 }
@@ -133,6 +170,9 @@ SQL = {
         WHERE topic IN ({_TOPICS}) GROUP BY topic""",
     "stream_status_hourly": f"""WITH {q.ACCESS_LINES}
         SELECT date_trunc('hour', ts) AS window_start, status, count(*) AS requests FROM entries GROUP BY 1, 2""",
+    "stream_top_urls": aq.SQL["top_urls_sliding"],
+    "stream_error_alarm": aq.alarm_sql(86400, 21600),
+    "stream_repeated_messages": dq.SQL["message_counts_tumbling"],
     "stream_alert_totals": f"WITH {dq.ALERT_SQL} SELECT error, message, occurrences FROM alert_rows",
     "stream_device_windows": dq.SQL["device_windows_enriched"],
     "stream_batch_averages": f"""WITH {q.DEVICE_PARSED}

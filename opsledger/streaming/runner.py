@@ -22,6 +22,15 @@ def start(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "appen
     return writer.start()
 
 
+def show(df: DataFrame, mode: str = "complete", every: str | None = None, rows: int = 20,
+         fmt: str = "console", name: str | None = None) -> StreamingQuery:
+    """Print (or keep in memory under ``name``) the result of every micro-batch; for looking, not for storing."""
+    writer = df.writeStream.outputMode(mode).format(fmt)
+    writer = writer.option("numRows", rows) if fmt == "console" else writer.queryName(name)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def run_to_end(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> None:
     """Process all available data and stop; a failure of the stream is raised here."""
     start(df, write, checkpoint, mode).awaitTermination()

@@ -137,6 +137,14 @@ def test_scheduled_stream_starts_and_stops(spark):
     assert spark.read.parquet(f"{out}/rows").count() == 8
 
 
+def test_show_in_memory_and_on_the_console(spark, capfd):
+    out = new_run_dir(spark, "m")
+    path = table(spark, f"{out}/in", *BATCHES)
+    runner.show(counts(stream(spark, path, None)), fmt="memory", name="seen").awaitTermination()
+    assert plain(spark.table("seen").collect()) == batch_result(spark, *BATCHES)
+    runner.show(counts(stream(spark, path, None)).orderBy("window_start"), rows=5).awaitTermination()
+
+
 def test_broker_options():
     options = streams.broker_options("host:9092", ["a", "b"])
     assert options == {"kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "latest",
