@@ -6,10 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # The combined log format, one group per field.
 FIELDS = ("ip", "client", "user", "date_text", "request", "status_text", "bytes_text", "referer", "agent")
-LINE = (
-    r"^(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})? (\S+) (\S+) (\[.+?\])"
-    r' "(.*?)" (\d{3}) (\S+) "(.*?)" "(.*?)"$'
-)
+LINE = r'^(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})? (\S+) (\S+) (\[.+?\]) "(.*?)" (\d{3}) (\S+) "(.*?)" "(.*?)"$'
 DATE = r"^\[(\d{1,2})/(\w{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2}) .+\]$"
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 _MARK = "\u0001"

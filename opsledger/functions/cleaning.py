@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Fixed value: id phrases that may be dropped from a normalised message.
-ID_PHRASES = (
-    r"session_id\:\s\S*"
-    r"| pair\sid\:\s\S*"
-    r"| notification_id\:\s\S*"
-    r"| event_id\:\s\S*"
-    r"| action_queue\:\s\S"
-)
+ID_PHRASES = r"session_id\:\s\S*| pair\sid\:\s\S*| notification_id\:\s\S*| event_id\:\s\S*| action_queue\:\s\S"
 # Fixed value: marks removed from report rows.
 REPORT_MARKS = r"CASE\d{6}|\[|\]|-"
 CASE_DELIMITERS = r"[\[\],\s-]"

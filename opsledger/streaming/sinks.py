@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsledger.operators.dedup import last_per_key
@@ -51,7 +52,12 @@ def latest_table(path: str) -> BatchWriter:
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """Everything written by :func:`batch_table`, with its ``batch_id``."""
     full = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["batch_id bigint"])
-    return spark.read.schema(full).parquet(path)
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)      # no batch has written anything yet
 
 
 def read_latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
