@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsledger.functions.text import tokens
 from opsledger.operators import joins, ranking
@@ -59,13 +61,13 @@ class Separation:
     rounds: int
     found: bool
 
-    def levels(self, spark) -> DataFrame:
+    def levels(self, spark: SparkSession) -> DataFrame:
         """``node, distance`` of every node reached."""
         return spark.read.schema("node bigint, hits bigint, distance int").parquet(
             f"{self.folder}/levels"
         ).select("node", "distance")
 
-    def target(self, spark, target: int) -> DataFrame:
+    def target(self, spark: SparkSession, target: int) -> DataFrame:
         """Distance of the target and the number of frontier edges that reached it; empty if unreached."""
         rows = spark.read.schema("node bigint, hits bigint, distance int").parquet(f"{self.folder}/levels")
         return rows.where(F.col("node") == target).select("node", "distance", "hits")
@@ -76,18 +78,51 @@ def separation(edge_table: DataFrame, start: int, target: int | None = None,
     """Level-by-level breadth-first search.
 
     Edges and every level are tables in the shared folder, so a round reads files instead of a
-    growing lineage and lost executors repeat one round at most. Edges of very well connected
-    nodes are stored apart: they meet a broadcast of the few hot frontier nodes, the others join
-    by shuffle.
+    growing lineage and lost executors repeat one round at most.
     """
     spark = edge_table.sparkSession
     folder = new_run_dir(spark, "separation")
+    with _stored_edges(edge_table, folder) as follow:
+        return _search(spark, folder, follow, start, target, max_rounds)
+
+
+@contextmanager
+def _stored_edges(edge_table: DataFrame, folder: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Stores the edges for repeated joins and yields ``frontier(src) -> edges leaving it``.
+
+    Edges are bucketed by source: however large the frontier, only it is shuffled. Edges of very well
+    connected nodes would overfill a bucket; they are stored apart and meet a broadcast of the
+    frontier's hot nodes, of which there are at most ``joins.HOT_KEYS``.
+    """
+    spark = edge_table.sparkSession
     edge_table.write.parquet(f"{folder}/edges")
     stored = spark.read.parquet(f"{folder}/edges")
     joins.hot_keys(stored, "src").write.parquet(f"{folder}/hot")
-    hot = spark.read.parquet(f"{folder}/hot")
+    hot = F.broadcast(spark.read.parquet(f"{folder}/hot"))
     skewed = not hot.isEmpty()
 
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = "edges_" + folder.rsplit("-", 1)[-1]
+    cold = stored.join(hot, "src", "left_anti") if skewed else stored
+    cold.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/cold").saveAsTable(table)
+    if skewed:
+        stored.join(hot, "src", "left_semi").write.parquet(f"{folder}/hot_edges")
+
+    def follow(frontier: DataFrame) -> DataFrame:
+        out = spark.table(table).join(frontier, "src")
+        if skewed:
+            few = F.broadcast(frontier.join(hot, "src", "left_semi"))
+            out = out.unionByName(spark.read.parquet(f"{folder}/hot_edges").join(few, "src"))
+        return out
+
+    try:
+        yield follow
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")      # the name only; the files are external
+
+
+def _search(spark: SparkSession, folder: str, follow: Callable[[DataFrame], DataFrame], start: int,
+            target: int | None, max_rounds: int) -> Separation:
     schema = "node bigint, hits bigint, distance int"
     spark.range(1).select(
         F.lit(start).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("hits")
@@ -98,8 +133,7 @@ def separation(edge_table: DataFrame, start: int, target: int | None = None,
         frontier = spark.read.schema("node bigint").parquet(f"{folder}/levels/distance={rounds}")
         visited = spark.read.schema(schema).parquet(f"{folder}/levels").select("node")
         rounds += 1
-        frontier = frontier.withColumnRenamed("node", "src")
-        step = joins.skew_join(stored, frontier, "src", hot=hot) if skewed else stored.join(frontier, "src")
+        step = follow(frontier.withColumnRenamed("node", "src"))
         reached = step.groupBy(F.col("dst").alias("node")).agg(F.sum("n").alias("hits"))
         level = f"{folder}/levels/distance={rounds}"
         reached.join(visited, "node", "left_anti").write.parquet(level)
