@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
+from opsledger.session import checkpointed
+
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 256
 
@@ -34,8 +36,7 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
     )
 
 
-def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-              hot: DataFrame | None = None) -> DataFrame:
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on one key where a few fact keys may be very hot and ``dim`` has few rows per key.
 
     Hot fact rows stay where they are and meet a broadcast of the (at most ``HOT_KEYS``) hot
@@ -43,7 +44,10 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
-    hot = hot_keys(fact, key) if hot is None else hot
+    # stored once: every branch below has to agree on which keys are hot
+    hot = checkpointed(hot_keys(fact, key))
+    if how == "inner" and hot.isEmpty():
+        return fact.join(dim, key)
     marked = fact.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
     # rows without a key match nothing; they must not gather in one shuffle partition either
     stays = F.col("_hot").isNotNull() | F.col(key).isNull()
