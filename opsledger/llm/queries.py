@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, personal
+from . import decontaminate, extract, mixing, personal, warc
 
 QUERIES = {
+    "op3_extract": extract.op3_extract,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_personal": personal.op10_personal,
 }
 
 SQL = {
+    "op4_decontaminate": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
     "op10_personal": personal.SQL,
 }
