@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, mixing, personal, warc
+from . import decontaminate, extract, jaccard, mixing, personal, warc
 
 QUERIES = {
     "op3_extract": extract.op3_extract,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op7_jaccard": jaccard.op7_jaccard,
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_personal": personal.op10_personal,
@@ -14,6 +15,7 @@ QUERIES = {
 
 SQL = {
     "op4_decontaminate": decontaminate.SQL,
+    "op7_jaccard": jaccard.SQL,
     "op9_mixing": mixing.SQL,
     "op10_personal": personal.SQL,
 }
