@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, jaccard, mixing, personal, warc
+from . import decontaminate, extract, jaccard, mixing, personal, toxicity, warc
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_extract": extract.op3_extract,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_jaccard": jaccard.op7_jaccard,

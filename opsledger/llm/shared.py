@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opsledger.session import new_run_dir
@@ -51,3 +54,12 @@ def pieces(texts: list, limit: int = 1 << 20):
         size += n
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def shipped(spark: SparkSession, model: object) -> Broadcast:
+    """A model of bounded size for all tasks, as bytes that a worker without this folder can open."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def opened(parcel: Broadcast):
+    return pickle.loads(parcel.value)
