@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, jaccard, mixing, personal, toxicity, warc
+from . import decontaminate, extract, jaccard, lines, mixing, personal, toxicity, warc
 
 QUERIES = {
+    "op1_lines": lines.op1_lines,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_extract": extract.op3_extract,
     "op4_decontaminate": decontaminate.op4_decontaminate,
