@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, jaccard, lines, mixing, personal, toxicity, warc
+from . import decontaminate, extract, jaccard, language, lines, mixing, personal, search, toxicity, warc
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_extract": extract.op3_extract,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_search": search.op5_search,
+    "op6_language": language.op6_language,
     "op7_jaccard": jaccard.op7_jaccard,
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
