@@ -167,20 +167,22 @@ def linked(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN)
     # shingles that begin groups, with the group's size and the shingle's place
     groups = known.groupBy("gid", "n").agg(F.first("prefix").alias("prefix"))
     shared = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    often = shared.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low < high")
-    places = store(shared.join(often, "token").select("token", "gid", "n", "pos", "low", "high"), "jaccard-places")
-
-    # first pairs: each group with the two leaders of its shingles, each set with the first of its group
-    leads = []
-    for name in ("low", "high"):
-        lead = places.where(F.col("gid") == F.col(name)).select(
-            "token", F.col("gid").alias("l_gid"), F.col("n").alias("l_n"), F.col("pos").alias("l_pos"))
-        ours = places.where(F.col("gid") != F.col(name)).select(
-            "token", F.col("gid").alias("g_gid"), F.col("n").alias("g_n"), F.col("pos").alias("g_pos"))
-        leads.append(ours.join(lead, "token").where(_possible("g", "l", num, den)).select("g_gid", "l_gid"))
+    often = shared.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
+    places = store(shared.join(often, "token").select("token", "gid", "n", "pos"), "jaccard-places")
+
+    # first pairs: each group with two leaders of its shingles, each set with the first of its group. One leader has the
+    # fewest rarer shingles before the shared one, as the text has that the others of a large group are edits of
+    by_place = F.col("pos").cast("long") * (1 << 32) + F.col("gid").bitwiseAND((1 << 32) - 1)
+    leads = [
+        places.groupBy("token").agg(best("gid", order).alias("l_gid"), best("n", order).alias("l_n"),
+                                    best("pos", order).alias("l_pos"))
+        for best, order in ((F.min_by, by_place), (F.max_by, F.col("gid")))
+    ]
+    ours = places.select("token", F.col("gid").alias("g_gid"), F.col("n").alias("g_n"), F.col("pos").alias("g_pos"))
+    led = ours.join(leads[0].union(leads[1]), "token").where("g_gid <> l_gid").where(_possible("g", "l", num, den))
     first = sets.groupBy("gid").agg(F.min("sid").alias("first"), F.count("*").alias("members"))
     lead_pairs = (
-        leads[0].union(leads[1]).distinct()
+        led.select("g_gid", "l_gid").distinct()
         .join(first.select(F.col("gid").alias("g_gid"), F.col("first").alias("x")), "g_gid")
         .join(first.select(F.col("gid").alias("l_gid"), F.col("first").alias("y")), "l_gid").select("x", "y")
     )
@@ -196,7 +198,7 @@ def linked(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN)
         sets.join(joined.select(F.col("node").alias("sid"), "root"), "sid", "left")
         .select("sid", "gid", F.coalesce("root", "sid").alias("part")), "jaccard-members")
     parts = member.groupBy("gid").agg(F.min("part").alias("p1"), F.max("part").alias("p2"))
-    placed = store(places.drop("low", "high").join(parts, "gid"), "jaccard-placed")
+    placed = store(places.join(parts, "gid"), "jaccard-placed")
     mixed = placed.groupBy("token").agg(F.min("p1").alias("m1"), F.max("p2").alias("m2")).where("m1 < m2").select("token")
     placed = placed.join(mixed, "token")
     g, h = (placed.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("gid", "n", "pos", "p1", "p2")]) for s in "gh")
