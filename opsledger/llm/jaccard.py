@@ -123,8 +123,9 @@ def _possible(a: str, b: str, num: int, den: int) -> Column:
 
 def verified(docs: DataFrame, one_doc: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of set ids whose sets have the similarity. ``one_doc``: (sid, doc_id) of a holder of each set."""
-    sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    sids = store(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct(), "jaccard-sids")
     needed = store(one_doc.join(sids, "sid"), "jaccard-needed").select("doc_id", "sid")
+    sids = broadcast_if_small(sids, ID_ROWS)
     wanted = broadcast_if_small(needed.select("doc_id").distinct(), ID_ROWS)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +134,15 @@ def verified(docs: DataFrame, one_doc: DataFrame, pairs: DataFrame, width: int,
             yield pa.RecordBatch.from_arrays([pa.array([_id(s.tobytes()) for s in found], pa.int64()),
                                               pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "data"])
 
-    holders = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("text")
-    known = holders.mapInArrow(sets, "sid long, data binary").dropDuplicates(["sid"])
-    known = store(known, "jaccard-sets")
+    holders = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    # only texts of ids with several rows can give a set twice
+    several = store(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-several")
+    if not several.isEmpty():
+        several = broadcast_if_small(several, ID_ROWS)
+        repeated = holders.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        holders = holders.join(several, "doc_id", "left_anti").union(repeated)
+    known = store(holders.select("text").mapInArrow(sets, "sid long, data binary").join(sids, "sid", "left_semi"),
+                  "jaccard-sets")
     left, right = (known.select(F.col("sid").alias(c), F.col("data").alias(f"{c}_set")) for c in "ab")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
