@@ -143,12 +143,13 @@ _WORDS = r"""WITH words AS (
     SELECT unnest(regexp_split_to_array(lower(text), '\W+')) AS word FROM documents)
     SELECT word, count(*) AS occurrences FROM words WHERE word <> '' AND word"""
 _REACH = f"""WITH RECURSIVE {q.GRAPH},
-    walk(node, distance) AS (
+    walk(node, distance) USING KEY (node) AS (
       SELECT CAST({START_NODE} AS BIGINT), 0
       UNION
-      SELECT e.dst, w.distance + 1 FROM walk w JOIN graph_edges e ON e.src = w.node WHERE w.distance < 10
+      SELECT e.dst, min(w.distance + 1) FROM walk w JOIN graph_edges e ON e.src = w.node
+      LEFT JOIN recurring.walk r ON r.node = e.dst WHERE r.node IS NULL GROUP BY e.dst
     ),
-    reached AS (SELECT node, CAST(min(distance) AS INTEGER) AS distance FROM walk GROUP BY node)"""
+    reached AS (SELECT node, CAST(distance AS INTEGER) AS distance FROM walk)"""
 
 SQL = {
     "item_avg_rating": _AVERAGES,

@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opsledger.functions.text import tokens
 from opsledger.operators import joins, ranking
 from opsledger.operators.compute import with_computed
-from opsledger.session import new_run_dir
-
-MAX_ROUNDS = 10
+from opsledger.session import new_run_dir, remove_dir
 
 
 def _adjacency(lines: DataFrame) -> DataFrame:
     """``node, neighbours`` per line ``node neighbour neighbour ...``; lines without a node id are left out."""
-    split = with_computed(lines, {"_tokens": tokens(F.trim("value"))})
+    split = with_computed(lines, {"_tokens": tokens(F.regexp_replace("value", r"^\s+", ""))})
     return split.select(
         F.get("_tokens", F.lit(0)).try_cast("bigint").alias("node"),
         F.slice("_tokens", 2, F.size("_tokens")).alias("neighbours"),
@@ -55,11 +53,15 @@ def degree_sums(lines: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Separation:
-    """A finished search: where its levels are stored and how it ended."""
+    """A finished search: where its levels are stored and how it ended.
+
+    ``exhausted`` means that the last frontier had no new neighbours, so ``levels`` holds every reachable node.
+    """
 
     folder: str
     rounds: int
     found: bool
+    exhausted: bool
 
     def levels(self, spark: SparkSession) -> DataFrame:
         """``node, distance`` of every node reached."""
@@ -74,8 +76,10 @@ class Separation:
 
 
 def separation(edge_table: DataFrame, start: int, target: int | None = None,
-               max_rounds: int = MAX_ROUNDS) -> Separation:
-    """Level-by-level breadth-first search.
+               max_rounds: int | None = None) -> Separation:
+    """Level-by-level breadth-first search until the target is found or no new node is reached.
+
+    ``max_rounds`` ends it earlier on request; ``exhausted`` of the result tells whether it did.
 
     Edges and every level are tables in the shared folder, so a round reads files instead of a
     growing lineage and lost executors repeat one round at most.
@@ -92,7 +96,7 @@ def _stored_edges(edge_table: DataFrame, folder: str) -> Iterator[Callable[[Data
 
     Edges are bucketed by source: however large the frontier, only it is shuffled. Edges of very well
     connected nodes would overfill a bucket; they are stored apart and meet a broadcast of the
-    frontier's hot nodes, of which there are at most ``joins.HOT_KEYS``.
+    frontier's hot nodes, of which there are fewer than shuffle partitions.
     """
     spark = edge_table.sparkSession
     edge_table.write.parquet(f"{folder}/edges")
@@ -119,17 +123,19 @@ def _stored_edges(edge_table: DataFrame, folder: str) -> Iterator[Callable[[Data
         yield follow
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")      # the name only; the files are external
+        for part in ("edges", "hot", "cold", "hot_edges"):
+            remove_dir(spark, f"{folder}/{part}")
 
 
 def _search(spark: SparkSession, folder: str, follow: Callable[[DataFrame], DataFrame], start: int,
-            target: int | None, max_rounds: int) -> Separation:
+            target: int | None, max_rounds: int | None) -> Separation:
     schema = "node bigint, hits bigint, distance int"
     spark.range(1).select(
         F.lit(start).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("hits")
     ).write.parquet(f"{folder}/levels/distance=0")
 
-    found, rounds = target == start, 0
-    while not found and rounds < max_rounds:
+    found, exhausted, rounds = target == start, False, 0
+    while not found and not exhausted and (max_rounds is None or rounds < max_rounds):
         frontier = spark.read.schema("node bigint").parquet(f"{folder}/levels/distance={rounds}")
         visited = spark.read.schema(schema).parquet(f"{folder}/levels").select("node")
         rounds += 1
@@ -143,6 +149,5 @@ def _search(spark: SparkSession, folder: str, follow: Callable[[DataFrame], Data
             F.count_if(F.col("node") == target if target is not None else F.lit(False)).alias("hit"),
         ).first()
         found = summary["hit"] > 0
-        if summary["nodes"] == 0:
-            break
-    return Separation(folder, rounds, found)
+        exhausted = summary["nodes"] == 0
+    return Separation(folder, rounds, found, exhausted)

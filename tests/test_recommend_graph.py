@@ -96,9 +96,9 @@ def test_levels_equal_plain_search(spark, hub):
     lines = spark.createDataFrame([(f"{a} {b}",) for a, b in pairs], "value string")
     found = graph.separation(graph.edges(lines), 0)
     got = {r.node: r.distance for r in found.levels(spark).collect()}
-    assert got == bfs(pairs, 0, 10)
+    assert got == bfs(pairs, 0, len(pairs)) and found.exhausted
     for a, b in pairs:
-        if a in got and got[a] < 10:
+        if a in got:
             assert got[b] <= got[a] + 1
 
 
@@ -114,11 +114,13 @@ def test_target_hits_unreachable_and_round_limit(spark):
     chain = spark.createDataFrame([(f"{i} {i + 1}",) for i in range(15)], "value string")
     short = graph.separation(graph.edges(chain), 0, 14, max_rounds=10)
     assert not short.found and short.rounds == 10
-    assert short.levels(spark).count() == 11
+    assert short.levels(spark).count() == 11 and not short.exhausted
+    whole = graph.separation(graph.edges(chain), 0)
+    assert whole.levels(spark).count() == 16 and whole.exhausted
 
 
 def test_degrees_over_several_lines(spark):
-    lines = spark.createDataFrame([("1 2 3",), (" 1  4",), ("2",), ("7 1 1 1",)], "value string")
+    lines = spark.createDataFrame([("1 2 3\t",), (" 1  4 ",), ("2 \t",), ("\t7 1 1 1",)], "value string")
     names = spark.createDataFrame([(1, "ONE"), (7, "SEVEN")], "node bigint, name string")
     assert [tuple(r) for r in graph.top_nodes(lines, names, 3).collect()] == [(1, "ONE", 3), (7, "SEVEN", 3), (2, None, 0)]
     sums = {r.degree: (int(r.sum_node), int(r.sum_degree)) for r in graph.degree_sums(lines).collect()}
