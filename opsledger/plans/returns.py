@@ -67,7 +67,7 @@ SINBON = _disp("SINBON")
 GEN2 = Match("description", ("GEN2",))
 
 KPIS: dict[str, Rule] = {
-    "total_returns": _rule((Match("category", ("",)),)),
+    "total_returns": _rule(()),
     "total_failed": _rule((_cat(FAILED),)),
     "failed_odu": _rule((FAILED_ONLY, _disp("ODU")),
                         (FAILED_ONLY, Match("display_name", ("OS-1 Sensor",), exact=True))),

@@ -1,4 +1,4 @@
-"""Report writers: ordered text parts, bounded single files, compressed text, tables."""
+"""Report writers: ordered text parts, single files, compressed text, tables."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from opsledger.functions.cleaning import report_text
+from opsledger.session import new_run_dir, remove_dir
 
-SINGLE_FILE_ROWS = 1_000_000
+# codecs whose files can be joined end to end
+JOINABLE = {"none": "", "gzip": ".gz", "bzip2": ".bz2"}
 
 
 def report_line(df: DataFrame, separator: str = ",") -> Column:
@@ -32,20 +34,33 @@ def write_text_report(df: DataFrame, path: str, compression: str = "none") -> No
     lines.write.mode("overwrite").option("compression", compression).text(path)
 
 
-def write_single_text(df: DataFrame, path: str, compression: str = "none",
-                      max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """One text file if the rows are few enough, ordered part files otherwise.
+def write_single_text(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Replace ``path`` with a folder that holds the report as one text file, whatever its size.
 
-    Returns whether one file was written. No row is left out in either case.
+    Tasks write the parts in parallel; then the files are joined end to end in the order of the parts, as a
+    copy of bytes in small pieces.
     """
-    lines = df.select(report_line(df).alias("value")).persist()
+    if compression not in JOINABLE:
+        raise ValueError(f"one file can be written with {sorted(JOINABLE)}, not {compression}")
+    spark = df.sparkSession
+    parts = new_run_dir(spark, "report-parts")
+    df.select(report_line(df).alias("value")).write.option("compression", compression).text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    source, store = folder.getFileSystem(conf), target.getFileSystem(conf)
+    names = sorted(s.getPath().getName() for s in source.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    store.delete(target, True)
+    out = store.create(jvm.org.apache.hadoop.fs.Path(target, f"part-00000.txt{JOINABLE[compression]}"))
     try:
-        small = lines.limit(max_rows + 1).count() <= max_rows
-        out = lines.coalesce(1) if small else lines
-        out.write.mode("overwrite").option("compression", compression).text(path)
-        return small
+        for name in names:
+            piece = source.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(piece, out, conf, False)
+            finally:
+                piece.close()
     finally:
-        lines.unpersist()
+        out.close()
+    remove_dir(spark, parts)
 
 
 def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet", mode: str = "overwrite",

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from opsledger.plans import returns as r
 from opsledger.session import new_run_dir
@@ -87,16 +88,25 @@ def test_reports(export, documents):
 
 def test_text_report_strips_marks_and_keeps_every_row(spark, documents):
     path = new_run_dir(spark, "t")
-    assert sinks.write_single_text(r.customer_totals(documents), path)
+    sinks.write_single_text(r.customer_totals(documents), path)
     files_written = spark.read.text(path).inputFiles()
     assert len(files_written) == 1
     text = [x.value for x in spark.read.text(path).collect()]
     assert text[1] == "c2,160.0" and len(text) == 2
-    # replaced, compressed, and too many rows for one file: ordered parts, nothing lost
-    ranged = spark.range(5000).repartition(5)
-    assert not sinks.write_single_text(ranged, path, "gzip", max_rows=100)
-    assert spark.read.text(path).count() == 5000
-    assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
+    # replaced, several parts, compressed: always one file, in order
+    ranged = spark.range(5000).repartitionByRange(5, "id").sortWithinPartitions("id")
+    for codec, ending in (("gzip", ".gz"), ("bzip2", ".bz2"), ("none", ".txt")):
+        sinks.write_single_text(ranged, path, codec)
+        written = spark.read.text(path)
+        assert [x.value for x in written.collect()] == [str(i) for i in range(5000)]
+        assert len(written.inputFiles()) == 1 and written.inputFiles()[0].endswith(ending)
+    with pytest.raises(ValueError):
+        sinks.write_single_text(ranged, path, "snappy")
+
+
+def test_total_counts_rows_without_category(spark, documents):
+    more = documents.withColumn("category", F.lit(None).cast("string"))
+    assert r.kpis(more).first()["total_returns"] == documents.agg(F.sum("quantity")).first()[0]
 
 
 def test_csv_header_and_bad_values(spark, tmp_path):
