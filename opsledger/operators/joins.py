@@ -6,27 +6,40 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from opsledger.session import checkpointed
 
 BROADCAST_ROWS = 200_000
-HOT_KEYS = 256
+BROADCAST_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame has at most ``max_rows`` rows and ``max_bytes`` bytes; reads no more than one row beyond that.
+
+    Every column counts as eight bytes, text and binary ones with their content too.
+    """
+    size = F.lit(8 * len(df.columns))
+    for f in df.schema:
+        if not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType)):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
+    return row["rows"] <= max_rows and (row["bytes"] or 0) <= max_bytes
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys holding more than an even share of a shuffle partition, at most ``limit`` of them.
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys holding more than an even share of a shuffle partition; there are fewer of them than partitions.
 
-    Found with a mergeable sketch in one pass. The list only decides how rows travel,
-    never which rows are kept.
+    Found with a mergeable sketch over the key alone, as large as the number of partitions asks for. The list only
+    decides how rows travel, never which rows are kept.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketch = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {limit}, {max(10_000, 40 * limit)})").alias("top"),
+    parts = _partitions(df)
+    sketch = df.select(key).where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {parts}, {max(10_000, 40 * parts)})").alias("top"),
         F.count("*").alias("total"),
     )
     return (
@@ -39,30 +52,33 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on one key where a few fact keys may be very hot and ``dim`` has few rows per key.
 
-    Hot fact rows stay where they are and meet a broadcast of the (at most ``HOT_KEYS``) hot
-    dimension keys; all other rows shuffle on the key. ``how`` is ``inner`` or ``left``.
+    Fact rows of a hot key are dealt out evenly over ``salts`` shares, and the key's dimension rows are repeated once
+    per share, so the fact is read once and joined once. Rows without a key match nothing and are dealt out too.
+    ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
-    # stored once: every branch below has to agree on which keys are hot
+    # stored once: both sides have to agree on which keys are hot
     hot = checkpointed(hot_keys(fact, key))
     if how == "inner" and hot.isEmpty():
         return fact.join(dim, key)
-    marked = fact.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
-    # rows without a key match nothing; they must not gather in one shuffle partition either
-    stays = F.col("_hot").isNotNull() | F.col(key).isNull()
-    hot_dim = dim.join(F.broadcast(hot), key, "left_semi")
-    hot_part = marked.where(stays).drop("_hot").join(F.broadcast(hot_dim), key, how)
-    cold_part = marked.where(~stays).drop("_hot").join(dim, key, how)
-    return cold_part.unionByName(hot_part)
+    salts = _partitions(fact)
+    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    share = F.when(spread, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(0)
+    facts = fact.join(marked, key, "left").withColumn("_salt", share).drop("_hot")
+    shares = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dims = dim.join(marked, key, "left").withColumn("_salt", F.explode(shares)).drop("_hot")
+    return facts.join(dims, [key, "_salt"], how).drop("_salt")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, Any] | None = None,
            how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Attach dimension columns by key (unique in ``dim``), keeping unmatched rows.
 
-    The dimension is broadcast after its size was checked; a larger one is joined by shuffle with
-    hot keys kept apart. Works for a stream with a static dimension too.
+    The dimension is broadcast after its rows and bytes were checked; a larger one is joined by shuffle with
+    hot keys salted. Works for a stream with a static dimension too; the side is checked when the stream starts,
+    so restart the stream after the dimension has grown.
     """
     if is_small(dim, max_rows):
         out = fact.join(F.broadcast(dim), key, how)

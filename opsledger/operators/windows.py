@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,14 +26,19 @@ def tumbling(df: DataFrame, time: str, size: timedelta, keys: Sequence[str],
 
 
 def sliding(df: DataFrame, time: str, size: timedelta, slide: timedelta, keys: Sequence[str],
-            measures: Mapping[str, Column]) -> DataFrame:
-    """Sliding windows over additive measures (counts and sums).
+            measures: Mapping[str, Column | tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """Sliding windows over counts, sums, and measures given with the aggregate that merges them.
+
+    A measure is a count or sum, or a pair such as ``(F.max("x"), F.max)``. Others cannot be merged from
+    parts of a window and are refused; an average is a sum and a count.
 
     In batch, rows are first reduced to one per (slide-aligned bucket, keys) and only those buckets
     fan out to the size/slide windows that hold them, so the fan-out works on counts instead of
     raw rows. A stream keeps the single-step form, which every output mode accepts.
     """
     size_us, slide_us = _micros(size), _micros(slide)
+    merges = {n: m[1] if isinstance(m, tuple) else _additive(n, m) for n, m in measures.items()}
+    measures = {n: m[0] if isinstance(m, tuple) else m for n, m in measures.items()}
     if df.isStreaming:
         window = F.window(time, _text(size_us), _text(slide_us))
         grouped = df.groupBy(window, *keys).agg(*[m.alias(n) for n, m in measures.items()])
@@ -54,10 +60,16 @@ def sliding(df: DataFrame, time: str, size: timedelta, slide: timedelta, keys: S
         .withColumn("window_start", F.explode(F.sequence(F.col("latest") - reach, F.col("latest"), every)))
         .where(F.col("window_start") + span > F.col("at"))
     )
-    totals = spread.groupBy("window_start", *keys).agg(*[F.sum(n).alias(n) for n in measures])
+    totals = spread.groupBy("window_start", *keys).agg(*[merge(n).alias(n) for n, merge in merges.items()])
     return totals.select("window_start", (F.col("window_start") + span).alias("window_end"), *keys, *measures)
 
 
+def _additive(name: str, measure: Column) -> Callable[[str], Column]:
+    if not re.match(r"Column<'(count|count_if|sum|countif)\((?!distinct)", str(measure), re.IGNORECASE):
+        raise ValueError(f"measure {name} needs the aggregate that merges it")
+    return F.sum
+
+
 def _flat(grouped: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     return grouped.select(
         F.col("window.start").alias("window_start"),

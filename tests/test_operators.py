@@ -51,6 +51,41 @@ def test_lookup_small_and_large_dimension_agree(skewed):
     assert small.count() == fact.count()
 
 
+def test_all_keys_above_an_even_share_are_found(spark):
+    # 600 keys of 20 rows and 12,000 of one row: with 2,000 partitions an even share is 12 rows
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    fact = spark.range(24_000).select(F.when(F.col("id") < 12_000, F.col("id") % 600).otherwise(F.col("id")).alias("key"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        assert joins.hot_keys(fact, "key").where("key < 600").count() == 600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_wide_rows_are_not_small(spark):
+    wide = spark.range(50).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 100_000).alias("text"))
+    assert not joins.is_small(wide, max_bytes=1 << 20) and joins.is_small(wide)
+
+
+def test_skew_join_scans_the_fact_once(spark, skewed, tmp_path):
+    fact, dim = skewed
+    fact.write.parquet(str(tmp_path / "fact"))
+    joined = joins.skew_join(spark.read.parquet(str(tmp_path / "fact")), dim, "key", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Location: InMemoryFileIndex") + plan.count("FileScan parquet [key") <= 2
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_sliding_merges_or_refuses(spark):
+    base = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(base + timedelta(seconds=i), v) for i, v in enumerate((1, 3, 5))], "ts timestamp_ntz, v int")
+    size, slide = timedelta(seconds=6), timedelta(seconds=3)
+    got = windows.sliding(df, "ts", size, slide, [], {"most": (F.max("v"), F.max), "n": F.count("*")})
+    assert {(r.window_start, r.most, r.n) for r in got.collect()} == {(base, 5, 3), (base - slide, 5, 3)}
+    with pytest.raises(ValueError):
+        windows.sliding(df, "ts", size, slide, [], {"mean": F.avg("v")})
+
+
 def test_count_missing_keeps_duplicates(spark):
     left = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("c", 2)], "m string, code int")
     right = spark.createDataFrame([("b",), ("b",)], "m string")
