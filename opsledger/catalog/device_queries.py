@@ -93,14 +93,8 @@ def failing_not_in_passing(spark, d):
 
 
 def log_line_counts(spark, d):
-    passing, failing = _runs(spark, d)
-    missing = logs.only_in_failing(failing, passing, codes(spark))
-    sides = (
-        passing.agg(F.count("*").alias("lines")).withColumn("side", F.lit("passing"))
-        .unionByName(failing.agg(F.count("*").alias("lines")).withColumn("side", F.lit("failing")))
-        .unionByName(missing.agg(F.count("*").alias("lines")).withColumn("side", F.lit("difference")))
-    )
-    return sides.select("side", "lines")
+    since = F.col("timestamp") >= F.lit(SPLIT.isoformat()).cast("timestamp_ntz")
+    return logs.run_counts(logs.run_messages(records(spark, d), t.YEAR), since)
 
 
 def log_search_fragments(spark, d):
@@ -205,7 +199,7 @@ SQL = {
         SELECT *, regexp_extract(value, '(\d\d-\d\d\s\d\d:\d\d:\d\d\.\d\d\d)', 1) AS milli FROM parsed)
         SELECT "key",
           CASE WHEN regexp_matches(value, '[I|ED]') THEN
-            regexp_replace(regexp_extract(value, '[I|ED](.*)', 1), '\d', '', 'g') END AS letter_form,
+            regexp_replace(regexp_extract(value, '[I|D|E](.*)', 1), '\d', '', 'g') END AS letter_form,
           CASE WHEN regexp_matches(value, '[IDEW]\s\w{{0,100}}:') THEN
             trim(regexp_replace(regexp_extract(value, '[IDEW]\s\w{{0,100}}:(.*)', 1), '\d', '', 'g')) END AS word_form,
           CASE WHEN milli <> '' THEN strptime('2024-' || milli, '%Y-%m-%d %H:%M:%S.%g') END AS milli_time

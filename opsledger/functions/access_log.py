@@ -15,10 +15,12 @@ _MARK = "\u0001"
 def split_fields(line: Column) -> Column:
     """The nine fields of a valid line; for any other line an array of another size.
 
-    The pattern runs once: matched groups are re-joined by a control character and split again.
+    The pattern runs once: matched groups are re-joined by a control character and split again. A line
+    that holds this character itself takes its groups one by one.
     """
     joined = F.regexp_replace(line, LINE, _MARK.join(f"${i}" for i in range(1, 10)))
-    return F.split(joined, _MARK)
+    one_by_one = F.when(line.rlike(LINE), F.array(*[F.regexp_extract(line, LINE, i) for i in range(1, 10)]))
+    return F.when(line.contains(_MARK), F.coalesce(one_by_one, F.array(line))).otherwise(F.split(joined, _MARK))
 
 
 def field(parts: Column, name: str) -> Column:

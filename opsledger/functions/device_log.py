@@ -10,7 +10,7 @@ from opsledger.functions.text import tokens
 STAMP = r"\d{2}-\d{2}\s\d{2}:\d{2}:\d{2}\.\d{%d,%d}"
 MESSAGE_FORMS = {
     "colon": r"[IDEW]\D{0,100}?:(.*)",
-    "letter": r"[ID|E](.*)",
+    "letter": r"[I|D|E](.*)",  # the bar belongs to the class
     "word": r"[IDEW]\s\w{0,100}:(.*)",
 }
 BRACKETED = r"<(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6})>\s+(\d+)\s+(.*)"

@@ -11,10 +11,10 @@ from pyspark.sql import Column, functions as F
 def tokens(line: Column) -> Column:
     """Blank-separated tokens.
 
-    Runs of blanks become one space first: replacing reuses one compiled pattern for all rows and a
+    Runs of blanks become one space first, also at the end, where it is cut off: replacing reuses one compiled pattern for all rows and a
     one-character split needs none, while splitting by a pattern compiles it for every row.
     """
-    return F.split(F.regexp_replace(F.rtrim(line), r"\s+", " "), " ")
+    return F.split(F.rtrim(F.regexp_replace(line, r"\s+", " ")), " ")
 
 
 def has_word(line: Column, words: Sequence[str]) -> Column:

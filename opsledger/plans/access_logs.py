@@ -11,7 +11,6 @@ from opsledger.functions import access_log as al
 from opsledger.operators import windows
 from opsledger.operators.compute import with_computed
 
-STATUS_LENGTH_LIMIT = 210
 
 
 def parse(lines: DataFrame) -> DataFrame:
@@ -19,7 +18,7 @@ def parse(lines: DataFrame) -> DataFrame:
     split = with_computed(lines, {"_fields": al.split_fields(F.col("value"))})
     valid = F.size("_fields") == len(al.FIELDS)
     text = {name: F.when(valid, al.field(F.col("_fields"), name)) for name in al.FIELDS}
-    status = F.when(F.length(text["status_text"]) < STATUS_LENGTH_LIMIT, text["status_text"].try_cast("int"))
+    status = text["status_text"].try_cast("int")
     timed = with_computed(split, {"ts": al.event_time(text["date_text"])})
     typed = timed.select(
         *lines.columns, text["ip"].alias("ip"), text["client"].alias("client"), text["user"].alias("user"), "ts",

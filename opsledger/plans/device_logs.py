@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from opsledger.functions import cleaning, device_log as dl, predicates as p
 from opsledger.operators import joins, ranking, windows
@@ -70,6 +70,16 @@ def run_messages(records: DataFrame, year: int, drop_ids: bool = True, failures_
     return parsed.where(p.mentions_any(F.col("message"))) if failures_only else parsed
 
 
+def run_counts(messages: DataFrame, failing: Column) -> DataFrame:
+    """Lines of both runs and messages of the failing run only, from one count per message."""
+    counts = messages.groupBy("message").agg(
+        F.count_if(~failing).alias("passing"), F.count_if(failing).alias("failing"))
+    totals = counts.agg(
+        F.coalesce(F.sum("passing"), F.lit(0)).alias("passing"), F.coalesce(F.sum("failing"), F.lit(0)).alias("failing"),
+        F.count_if((F.col("passing") == 0) & (F.col("failing") > 0)).alias("difference"))
+    return totals.unpivot([], ["passing", "failing", "difference"], "side", "lines")
+
+
 def only_in_failing(failing: DataFrame, passing: DataFrame, codes: DataFrame,
                     after: datetime | None = None, times: int | None = None) -> DataFrame:
     """Messages of the failing run that the passing run never logged, with count and code."""

@@ -39,10 +39,9 @@ def line_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, table: str, **options: str) -> DataFrame:
-    """A Parquet table as a stream; new files matching the name arrive as new data."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return read_stream(spark, "parquet", folder, schema,
-                       {"pathGlobFilter": f"{table}*.parquet"} | options)
+    """A Parquet table, one file or a folder of part files, as a stream; new part files arrive as new data."""
+    path = f"{folder}/{table}.parquet"
+    return read_stream(spark, "parquet", path, spark.read.parquet(path).schema, options)
 
 
 def record_stream(df: DataFrame) -> DataFrame:

@@ -167,3 +167,11 @@ def test_alert_payload(lines):
     rows = lines(["12 temp | 0X01AB ", "x temp|0x1", "5 temp"]).select(
         a.occurrence(F.col("value")).alias("n"), a.code(F.col("value")).alias("c")).collect()
     assert [(r.n, r.c) for r in rows] == [(12, "0x01ab"), (None, "0x1"), (5, None)]
+
+
+def test_control_characters_do_not_move_fields(lines):
+    good = '1.2.3.4 - u\u0001v [01/Jan/2024:10:11:12 +0000] "GET /x HTTP/1.1" 200 5 "-" "agent\u0001b"'
+    bad = "\u0001".join(["1.2.3.4", "-", "u", "[01/Jan/2024:10:11:12 +0000]", "GET /x HTTP/1.1", "200", "5", "-", "agent"])
+    rows = access_logs.parse(lines([good, bad])).orderBy("position").collect()
+    assert rows[0].parse_error is None and (rows[0].url, rows[0].status, rows[0].agent) == ("/x", 200, "agent\u0001b")
+    assert rows[1].parse_error is not None

@@ -156,3 +156,13 @@ def test_broker_options():
     options = streams.broker_options("host:9092", ["a", "b"])
     assert options == {"kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "latest",
                        "failOnDataLoss": "false"}
+
+
+def test_table_stream_reads_folders_and_exact_names(spark):
+    folder = new_run_dir(spark, "tables")
+    spark.createDataFrame(BATCHES[0], SCHEMA).repartition(3).write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame(BATCHES[0] * 2, SCHEMA).write.parquet(f"{folder}/partsupp.parquet")
+    query = (streams.table_stream(spark, folder, "part").writeStream.format("memory").queryName("table_stream_rows")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert spark.table("table_stream_rows").count() == len(BATCHES[0])
