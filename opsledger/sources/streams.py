@@ -41,7 +41,12 @@ def line_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def table_stream(spark: SparkSession, folder: str, table: str, **options: str) -> DataFrame:
     """A Parquet table, one file or a folder of part files, as a stream; new part files arrive as new data."""
     path = f"{folder}/{table}.parquet"
-    return read_stream(spark, "parquet", path, spark.read.parquet(path).schema, options)
+    schema = spark.read.parquet(path).schema
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return read_stream(spark, "parquet", path, schema, options)
+    # a stream starts from a folder; this file is the only one whose name fits
+    return read_stream(spark, "parquet", folder, schema, {"pathGlobFilter": f"{table}.parquet"} | options)
 
 
 def record_stream(df: DataFrame) -> DataFrame:
