@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .shared import pieces, small_batches, store, table
-from .shingles import word_hashes
+from .shingles import ranges, word_hashes
 
 K, K1, B = 10, 1.2, 0.75
 SHARD_WORDS, BLOCK, FIRST_BLOCKS = 3_000_000, 64, 4
@@ -127,13 +127,6 @@ def weighted_queries(queries: DataFrame, shards: DataFrame, n_docs: int) -> Data
         "query_id", F.col("w.term").alias("terms"), F.col("w.weight").alias("weights"))
 
 
-def _ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges one after the other, and the range of each."""
-    sizes = ends - begins
-    which = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begins[which], which
-
-
 class Shard:
     """A shard ready for searching."""
 
@@ -166,7 +159,7 @@ class Shard:
         at, weights = self.places[at[here]], weights[here]
         if not len(at):
             return best
-        cells, which = _ranges(self.term_cells[at], self.term_cells[at + 1])
+        cells, which = ranges(self.term_cells[at], self.term_cells[at + 1])
         weight = weights[which]
         bounds = np.bincount(self.cell_block[cells], weight * self.cell_most[cells], self.n_blocks)
         order = np.argsort(-bounds, kind="stable")
@@ -182,7 +175,7 @@ class Shard:
             wanted[chosen] = True
             mask = wanted[self.cell_block[cells]]
             part = cells[mask]
-            postings, cell = _ranges(self.cells[part], self.cells[part + 1])
+            postings, cell = ranges(self.cells[part], self.cells[part + 1])
             scores = np.bincount(self.rows[postings], weight[mask][cell] * self.weights[postings], len(self.ids))
             found = np.flatnonzero((scores > 0) & (scores >= least * (1 - 1e-12)))
             best = self.top(np.concatenate([best[0], scores[found]]), np.concatenate([best[1], self.ids[found]]), k)

@@ -67,3 +67,10 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
             else:
                 out.append(np.zeros(0, np.uint64))
     return out
+
+
+def ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after the other, and the range of each."""
+    sizes = ends - begins
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begins[which], which

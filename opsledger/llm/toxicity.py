@@ -30,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import bucket_of_id, opened, shipped, small_batches, store, table
+from .shingles import ranges
 
 MAX_EXAMPLES = 16_384
 MAX_TERMS = 4096
 PREFIXES = (3, 4, 5, 6, 7)
 LEAST_TOXIC = 3
 FALSE_TERMS = 0.01  # expected number of terms chosen by chance
-BLOCK = 128
+BLOCK, FIRST_BLOCKS = 128, 4
 K = 15
 PRIOR_VOTE = 0.5
 THRESHOLD = 0.3
@@ -96,7 +97,7 @@ class BlockMaxIndex:
         order = np.lexsort((rows, terms))
         self.rows, self.weights = rows[order], weights[order]
         cell = terms[order] * self.n_blocks + self.rows // block
-        self.starts = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1)).reshape(-1)
+        self.starts = np.searchsorted(cell, np.arange(n_terms * self.n_blocks + 1))
         self.most = np.zeros(n_terms * self.n_blocks)
         np.maximum.at(self.most, cell, self.weights)
         self.most = self.most.reshape(n_terms, self.n_blocks)
@@ -106,21 +107,24 @@ class BlockMaxIndex:
         if not len(ids) or not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
         bounds = weights @ self.most[ids]
-        rows, values = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(rows) == k and bounds[b] < values[-1] - 1e-12:
+        order = np.argsort(-bounds, kind="stable")
+        rows, values, begin, n = np.zeros(0, np.int64), np.zeros(0), 0, FIRST_BLOCKS
+        while begin < self.n_blocks:
+            chosen = order[begin:begin + n]
+            least = values[-1] - 1e-12 if len(rows) == k else 0.0
+            chosen = chosen[(bounds[chosen] >= least) & (bounds[chosen] > 0)]
+            if not len(chosen):
                 break
-            scores = np.zeros(self.block)
-            for i, w in zip(ids, weights, strict=True):
-                part = slice(self.starts[i * self.n_blocks + b], self.starts[i * self.n_blocks + b + 1])
-                scores[self.rows[part] - b * self.block] += w * self.weights[part]
-            if without is not None and without // self.block == b:
-                scores[without % self.block] = 0
+            cells = (ids[:, None] * self.n_blocks + chosen[None, :]).ravel()
+            postings, cell = ranges(self.starts[cells], self.starts[cells + 1])
+            scores = np.bincount(self.rows[postings], weights[cell // len(chosen)] * self.weights[postings], self.n)
+            if without is not None:
+                scores[without] = 0
             found = np.flatnonzero(scores > 0)
-            rows = np.concatenate([rows, found + b * self.block])
-            values = np.concatenate([values, scores[found]])
+            rows, values = np.concatenate([rows, found]), np.concatenate([values, scores[found]])
             best = np.lexsort((rows, -values))[:k]
             rows, values = rows[best], values[best]
+            begin, n = begin + n, n * 2
         return rows, values
 
 
