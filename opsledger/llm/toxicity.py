@@ -60,14 +60,18 @@ def text_terms(text: str | None) -> Counter:
 
 
 class Vectors:
-    """Counts of the chosen terms in texts; words met before are looked up."""
+    """Counts of the chosen terms in texts; words that begin like no term are passed over, others are looked up."""
 
     def __init__(self, terms: dict[str, int]):
         self.terms, self.known = terms, {}
+        self.heads = {t[:3] for t in terms}
 
     def counts(self, text: str | None) -> dict[int, int]:
         found: dict[int, int] = {}
+        heads = self.heads
         for word, n in Counter(_WORD.findall((text or "").lower())).items():
+            if (word[:3] if len(word) > 2 else word + "$") not in heads:
+                continue
             ids = self.known.get(word)
             if ids is None:
                 if len(self.known) >= CACHE_WORDS:
