@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opsledger.catalog import sql as q
 from opsledger.functions import cleaning, device_log as dl
 from opsledger.plans import alerts as alert_plans, device_logs as logs
-from opsledger.sources import dimensions
+from opsledger.session import new_run_dir
+from opsledger.sources import dimensions, files
 from opsledger.sources.files import read_table
 from opsledger.testbed import tables as t
 
@@ -82,6 +83,18 @@ def device_enrich(spark, d):
     return logs.with_devices(messages(spark, d), devices(spark, d)).select("key", "topic", "ip", "realm", "model")
 
 
+def device_lookup_files(spark, d):
+    """Device lines in several text files, later files with newer lines of the same devices; the last line wins."""
+    folder = new_run_dir(spark, "device-lines")
+    lines = t.device_lines(read_table(spark, d, "nation"), read_table(spark, d, "region"))
+    old = lines.select(F.concat("value", F.lit(" old")).alias("value"))
+    half = lines.where(F.col("position") % 2 == 0)
+    for name, part in (("a", old), ("b", lines.select("value")), ("c", half.select(F.concat("value", F.lit(" new"))))):
+        part.coalesce(1).write.text(f"{folder}/{name}")
+    read = dimensions.devices(files.read_ordered_lines(spark, [f"{folder}/{name}" for name in "abc"]))
+    return read.select("topic", "ip", "realm", "model")
+
+
 def severity_range_counts(spark, d):
     coded = logs.with_codes(messages(spark, d), codes(spark))
     return logs.severity_counts(coded, *RANGE)
@@ -159,7 +172,7 @@ def alert_totals(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         device_log_parse, device_log_rejects, device_log_forms, message_normalize, error_code_lookup,
-        device_enrich, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
+        device_enrich, device_lookup_files, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
         log_word_filter, thin_one_per_second, pattern_table_counts, errors_sliding, avg_error_length_by_topic,
         avg_by_topic_sliding, message_counts_tumbling, device_windows_enriched, sentence_windows, alert_totals,
     )
@@ -214,6 +227,9 @@ SQL = {
     "error_code_lookup": f"""WITH {q.DEVICE_PARSED}, {q.CODES}
         SELECT g.message, c.code, count(*) AS occurrences FROM good g JOIN codes c ON g.message = c.message
         GROUP BY g.message, c.code""",
+    "device_lookup_files": """SELECT 'device_' || n_nationkey AS topic, '10.0.' || n_nationkey || '.1' AS ip, r_name AS realm,
+        n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' new' ELSE '' END AS model
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "device_enrich": f"""WITH {q.DEVICE_PARSED}, {q.DEVICES}
         SELECT g."key", g.topic, v.ip, v.realm, v.model FROM good g LEFT JOIN devices v ON g.topic = v.topic""",
     "severity_range_counts": f"""WITH {q.DEVICE_PARSED}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from opsledger.catalog import sql as q
 from opsledger.functions import predicates as p
 from opsledger.operators import ranking
+from opsledger.operators.indexing import dense_index
 from opsledger.plans import graph, recommend, words
 from opsledger.session import new_run_dir
 from opsledger.sources import dimensions
@@ -61,6 +62,27 @@ def als_top10(spark, d):
     return recommend.recommend(model, users, items, t.item_names(spark, d), ONE_USER)
 
 
+def als_top10_facts(spark, d):
+    """What can be checked of the model's list without the model: its size, and that items are known and distinct."""
+    best = als_top10(spark, d)
+    names = t.item_names(spark, d).withColumnRenamed("name", "known")
+    return best.join(names, "item", "left").agg(
+        F.count("*").alias("items"), F.countDistinct("item").alias("distinct_items"),
+        F.count_if(F.col("name") == F.col("known")).alias("named"), F.count("predicted").alias("predicted"))
+
+
+def dense_ids(spark, d):
+    """Smallest, largest and number of the dense ids of users and items."""
+    ratings = t.ratings(spark, d)
+
+    def side(name):
+        ids = dense_index(ratings, name, "id")
+        return ids.agg(F.count("*").alias("keys"), F.countDistinct("id").alias("ids"), F.min("id").alias("smallest"),
+                       F.max("id").alias("largest")).withColumn("side", F.lit(name))
+
+    return side("user").unionByName(side("item"))
+
+
 def _graph_lines(spark, d):
     return t.graph_lines(read_table(spark, d, "lineitem"))
 
@@ -124,7 +146,7 @@ def word_count_bottom30(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         item_avg_rating, item_avg_rating_top10, item_similarity, item_similarity_all, item_similarity_top10,
-        user_ratings_named, json_reviews, als_top10, graph_edges, node_degrees, degree_top10, degree_top10_any,
+        user_ratings_named, json_reviews, als_top10, als_top10_facts, dense_ids, graph_edges, node_degrees, degree_top10, degree_top10_any,
         degree_histogram_sums, bfs_levels, bfs_degrees, word_count_keep, word_count_drop, word_count_bottom30,
     )
 }
@@ -152,6 +174,12 @@ _REACH = f"""WITH RECURSIVE {q.GRAPH},
     reached AS (SELECT node, CAST(distance AS INTEGER) AS distance FROM walk)"""
 
 SQL = {
+    "als_top10_facts": """SELECT CAST(10 AS BIGINT) AS items, CAST(10 AS BIGINT) AS distinct_items,
+        CAST(10 AS BIGINT) AS named, CAST(10 AS BIGINT) AS predicted FROM part HAVING count(*) >= 10""",
+    "dense_ids": f"""WITH {q.RATINGS}, sides AS (SELECT 'user' AS side, CAST("user" AS BIGINT) AS k FROM ratings
+        UNION ALL SELECT 'item', CAST(item AS BIGINT) FROM ratings)
+        SELECT side, count(DISTINCT k) AS keys, count(DISTINCT k) AS ids, CAST(0 AS INTEGER) AS smallest,
+        CAST(count(DISTINCT k) - 1 AS INTEGER) AS largest FROM sides GROUP BY side""",
     "item_avg_rating": _AVERAGES,
     "item_avg_rating_top10": f"{_AVERAGES} ORDER BY average DESC, item LIMIT 10",
     "item_similarity": f"{_PAIRS} SELECT item, round(raw, 9) AS score, pairs FROM scored WHERE raw > 0.97 AND pairs > 1",

@@ -75,7 +75,7 @@ def stream_status_hourly(spark, d):
     entries = _stream_entries(spark, d, f"{out}/in", None)
     counts = access.status_hourly(entries).orderBy("window_start", "status")
     runner.run_to_end(counts, sinks.latest_table(f"{out}/rows"), f"{out}/checkpoint", "complete")
-    rows = spark.read.schema(counts.schema).parquet(f"{out}/rows")
+    rows = sinks.read_newest(spark, f"{out}/rows", counts.schema)
     return _plain_time(rows.select("window_start", "status", "requests"), "window_start")
 
 
@@ -106,7 +106,7 @@ def stream_repeated_messages(spark, d):
     counts = logs.message_windows(_stream_messages(spark, d, "2 seconds"), SIX_HOURS)
     counts = counts.orderBy(F.col("window_start").desc(), F.col("occurrences").desc(), "message")
     runner.run_to_end(counts, sinks.latest_table(f"{out}/rows"), f"{out}/checkpoint", "complete")
-    rows = spark.read.schema(counts.schema).parquet(f"{out}/rows")
+    rows = sinks.read_newest(spark, f"{out}/rows", counts.schema)
     return _plain_time(rows.select("window_start", "message", "occurrences"), "window_start")
 
 

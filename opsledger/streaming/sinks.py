@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsledger.operators.dedup import last_per_key
+from opsledger.session import remove_dir
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -41,14 +42,36 @@ def external_table(fmt: str, options: Mapping[str, str], topics: Sequence[str] |
 
 
 def latest_table(path: str) -> BatchWriter:
-    """Complete-mode results: each micro-batch replaces the whole table."""
+    """Complete-mode results: each micro-batch writes the whole table into a folder of its own.
+
+    Readers take the newest finished folder (:func:`read_newest`), so none sees a half-written table; the one before
+    it stays for readers that have started, older ones are removed.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for old in _finished(batch.sparkSession, path):
+            if old < batch_id - 1:
+                remove_dir(batch.sparkSession, f"{path}/batch_id={old}")
 
     return write
 
 
+def _finished(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the batches whose folders are complete, ascending."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in found)
+
+
+def read_newest(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest complete table written by :func:`latest_table`; empty before the first."""
+    done = _finished(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={done[-1]}")
+
+
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """Everything written by :func:`batch_table`, with its ``batch_id``."""
     full = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["batch_id bigint"])

@@ -62,7 +62,9 @@ def test_complete_mode_keeps_late_rows_and_append_mode_drops_them(spark):
     path = table(spark, f"{out}/in", *BATCHES)
     complete = counts(stream(spark, path, "10 seconds"))
     runner.run_to_end(complete, sinks.latest_table(f"{out}/complete"), f"{out}/cp1", "complete")
-    assert plain(spark.read.schema(complete.schema).parquet(f"{out}/complete").collect()) == batch_result(spark, *BATCHES)
+    assert plain(sinks.read_newest(spark, f"{out}/complete", complete.schema).collect()) == batch_result(spark, *BATCHES)
+    assert sinks.read_newest(spark, f"{out}/none", complete.schema).count() == 0
+    assert len(sinks._finished(spark, f"{out}/complete")) == 2      # the newest table and the one before it
     append = counts(stream(spark, path, "10 seconds"))
     runner.run_to_end(append, sinks.batch_table(f"{out}/append"), f"{out}/cp2", "append")
     got = plain(sinks.read_batches(spark, f"{out}/append", append.schema).collect())
@@ -78,7 +80,7 @@ def test_sliding_stream_equals_batch_form(spark):
     frame = windows.sliding(stream(spark, table(spark, f"{out}/in", *BATCHES), None), "ts", size, slide, ["topic"], measures)
     runner.run_to_end(frame, sinks.latest_table(f"{out}/rows"), f"{out}/cp", "complete")
     static = windows.sliding(spark.createDataFrame([r for b in BATCHES for r in b], SCHEMA), "ts", size, slide, ["topic"], measures)
-    assert plain(spark.read.schema(frame.schema).parquet(f"{out}/rows").collect()) == plain(static.collect())
+    assert plain(sinks.read_newest(spark, f"{out}/rows", frame.schema).collect()) == plain(static.collect())
 
 
 def test_alarm_works_on_a_stream(spark):
@@ -87,7 +89,7 @@ def test_alarm_works_on_a_stream(spark):
     entries = stream(spark, table(spark, f"{out}/in", rows), None).withColumnRenamed("n", "status")
     frame = access_logs.error_alarm(entries, timedelta(seconds=10), timedelta(seconds=10))
     runner.run_to_end(frame, sinks.latest_table(f"{out}/rows"), f"{out}/cp", "complete")
-    got = spark.read.schema(frame.schema).parquet(f"{out}/rows").collect()
+    got = sinks.read_newest(spark, f"{out}/rows", frame.schema).collect()
     assert [(r.success, r.failure, r.state) for r in got] == [(60, 50, "alarm")]
 
 
