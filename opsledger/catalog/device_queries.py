@@ -95,6 +95,21 @@ def device_lookup_files(spark, d):
     return read.select("topic", "ip", "realm", "model")
 
 
+def device_line_rejects(spark, d):
+    """Device lines of which every fourth has lost its last field."""
+    lines = t.device_lines(read_table(spark, d, "nation"), read_table(spark, d, "region"))
+    cut = F.when(F.col("position") % 4 == 0, F.regexp_replace("value", ", [^,]*$", "")).otherwise(F.col("value"))
+    return dimensions.rejected_devices(lines.withColumn("value", cut)).select("value", "parse_error")
+
+
+def alert_rejects(spark, d):
+    """Alert payloads of which some have lost their code mark or their number."""
+    value, key = F.col("value"), F.col("key")
+    damaged = F.when(key % 7 == 0, F.translate(value, "|", "/")).when(key % 11 == 0, F.concat(F.lit("x"), value)).otherwise(value)
+    records_ = t.alert_records(read_table(spark, d, "events")).withColumn("value", damaged)
+    return alert_plans.rejected(records_).select("key", "parse_error")
+
+
 def severity_range_counts(spark, d):
     coded = logs.with_codes(messages(spark, d), codes(spark))
     return logs.severity_counts(coded, *RANGE)
@@ -172,7 +187,7 @@ def alert_totals(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         device_log_parse, device_log_rejects, device_log_forms, message_normalize, error_code_lookup,
-        device_enrich, device_lookup_files, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
+        device_enrich, device_lookup_files, device_line_rejects, alert_rejects, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
         log_word_filter, thin_one_per_second, pattern_table_counts, errors_sliding, avg_error_length_by_topic,
         avg_by_topic_sliding, message_counts_tumbling, device_windows_enriched, sentence_windows, alert_totals,
     )
@@ -227,6 +242,10 @@ SQL = {
     "error_code_lookup": f"""WITH {q.DEVICE_PARSED}, {q.CODES}
         SELECT g.message, c.code, count(*) AS occurrences FROM good g JOIN codes c ON g.message = c.message
         GROUP BY g.message, c.code""",
+    "device_line_rejects": """SELECT 'device_' || n_nationkey || ', 10.0.' || n_nationkey || '.1, ' || r_name AS value,
+        'missing fields' AS parse_error FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 0""",
+    "alert_rejects": """SELECT event_id AS "key", CASE WHEN event_id % 7 = 0 THEN 'no code' ELSE 'no count' END AS parse_error
+        FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
     "device_lookup_files": """SELECT 'device_' || n_nationkey AS topic, '10.0.' || n_nationkey || '.1' AS ip, r_name AS realm,
         n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' new' ELSE '' END AS model
         FROM nation JOIN region ON n_regionkey = r_regionkey""",

@@ -91,6 +91,14 @@ def _names(spark, d):
     return dimensions.quoted_names(t.name_lines(read_table(spark, d, "part")))
 
 
+def adjacency_rejects(spark, d):
+    """Adjacency lines of parts of which some have no node id or a neighbour that is none."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    value = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("part "), key)).when(
+        F.col("p_partkey") % 7 == 0, F.concat(key, F.lit(" "), size, F.lit(" z"))).otherwise(F.concat(key, F.lit(" "), size))
+    return graph.rejected_lines(read_table(spark, d, "part").select(value.alias("value"))).select("value", "parse_error")
+
+
 def graph_edges(spark, d):
     return graph.edges(_graph_lines(spark, d))
 
@@ -146,7 +154,7 @@ def word_count_bottom30(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         item_avg_rating, item_avg_rating_top10, item_similarity, item_similarity_all, item_similarity_top10,
-        user_ratings_named, json_reviews, als_top10, als_top10_facts, dense_ids, graph_edges, node_degrees, degree_top10, degree_top10_any,
+        user_ratings_named, json_reviews, als_top10, als_top10_facts, dense_ids, adjacency_rejects, graph_edges, node_degrees, degree_top10, degree_top10_any,
         degree_histogram_sums, bfs_levels, bfs_degrees, word_count_keep, word_count_drop, word_count_bottom30,
     )
 }
@@ -176,6 +184,9 @@ _REACH = f"""WITH RECURSIVE {q.GRAPH},
 SQL = {
     "als_top10_facts": """SELECT CAST(10 AS BIGINT) AS items, CAST(10 AS BIGINT) AS distinct_items,
         CAST(10 AS BIGINT) AS named, CAST(10 AS BIGINT) AS predicted FROM part HAVING count(*) >= 10""",
+    "adjacency_rejects": """SELECT CASE WHEN p_partkey % 5 = 0 THEN 'part ' || p_partkey ELSE p_partkey || ' ' || p_size || ' z' END AS value,
+        CASE WHEN p_partkey % 5 = 0 THEN 'no node' ELSE 'bad neighbour' END AS parse_error
+        FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0""",
     "dense_ids": f"""WITH {q.RATINGS}, sides AS (SELECT 'user' AS side, CAST("user" AS BIGINT) AS k FROM ratings
         UNION ALL SELECT 'item', CAST(item AS BIGINT) FROM ratings)
         SELECT side, count(DISTINCT k) AS keys, count(DISTINCT k) AS ids, CAST(0 AS INTEGER) AS smallest,

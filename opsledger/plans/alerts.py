@@ -8,13 +8,21 @@ from opsledger.functions import alerts as a
 from opsledger.operators import joins
 
 
+def parse_all(records: DataFrame) -> DataFrame:
+    """``error, occurrence, parse_error`` for every payload."""
+    fields = records.select("*", a.code(F.col("value")).alias("error"), a.occurrence(F.col("value")).alias("occurrence"))
+    problem = F.when(F.col("error").isNull(), "no code").when(F.col("occurrence").isNull(), "no count")
+    return fields.withColumn("parse_error", problem)
+
+
 def parse(records: DataFrame) -> DataFrame:
-    """``error, occurrence`` per payload; payloads without a number or a code are left out."""
-    return records.select(
-        "*",
-        a.code(F.col("value")).alias("error"),
-        a.occurrence(F.col("value")).alias("occurrence"),
-    ).where(F.col("error").isNotNull() & F.col("occurrence").isNotNull()).drop("value")
+    """``error, occurrence`` of the payloads that have both."""
+    return parse_all(records).where(F.col("parse_error").isNull()).drop("value", "parse_error")
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    """The other payloads with the reason in ``parse_error``."""
+    return parse_all(records).where(F.col("parse_error").isNotNull()).drop("error", "occurrence")
 
 
 def totals(parsed: DataFrame, alerts: DataFrame) -> DataFrame:

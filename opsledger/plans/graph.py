@@ -23,6 +23,14 @@ def _adjacency(lines: DataFrame) -> DataFrame:
     ).where(F.col("node").isNotNull())
 
 
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """Adjacency lines without a node id, or with a neighbour that is no id, and the reason in ``parse_error``."""
+    split = with_computed(lines, {"_tokens": tokens(F.regexp_replace("value", r"^\s+", ""))})
+    bad = F.exists(F.slice("_tokens", 2, F.size("_tokens")), lambda t: t.try_cast("bigint").isNull())
+    problem = F.when(F.get("_tokens", F.lit(0)).try_cast("bigint").isNull(), "no node").when(bad, "bad neighbour")
+    return split.withColumn("parse_error", problem).where(F.col("parse_error").isNotNull()).drop("_tokens")
+
+
 def line_degrees(lines: DataFrame) -> DataFrame:
     """``node, degree`` per adjacency line."""
     return _adjacency(lines).select("node", F.size("neighbours").cast("bigint").alias("degree"))

@@ -46,6 +46,11 @@ def devices(lines: DataFrame, position: str = "position") -> DataFrame:
     return last_per_key(parsed, ["topic"], ["position"], ["ip", "realm", "model"])
 
 
+def rejected_devices(lines: DataFrame) -> DataFrame:
+    """Device lines that :func:`devices` leaves out, with the reason in ``parse_error``."""
+    return lines.where(_text_field(3).isNull()).withColumn("parse_error", F.lit("missing fields"))
+
+
 def alerts(lines: DataFrame, position: str = "position") -> DataFrame:
     """Quoted 13-field alert lines to ``code -> message``."""
     schema = ", ".join(f"{c} string" for c in ALERT_FIELDS)
