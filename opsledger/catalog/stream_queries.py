@@ -19,6 +19,7 @@ from opsledger.streaming import runner, sinks
 from opsledger.testbed import tables as t
 
 SIX_HOURS = timedelta(hours=6)
+STREAM_FILES = 4
 STORED_TOPICS = ("device_1", "device_2", "device_3", "device_10", "device_29")
 
 
@@ -64,9 +65,17 @@ def stream_foreach_batch(spark, d):
 
 
 def _stream_entries(spark, d, folder: str, delay: str | None) -> DataFrame:
-    """A folder of access-log text files, written from the tables, as a stream of entries."""
-    t.access_lines(read_table(spark, d, "events"), read_table(spark, d, "pages")).select("value").write.text(folder)
-    return runner.event_time(access.accepted(access.parse(line_stream(spark, folder))), "ts", delay)
+    """Access-log text files, written from the tables in order of time, as a stream of one file per micro-batch."""
+    events = read_table(spark, d, "events")
+    timed = t.access_lines(events, read_table(spark, d, "pages")).join(
+        events.select(F.col("event_id").alias("key"), "ts"), "key")
+    number = F.col("ts").cast("timestamp").cast("double")
+    first, last = timed.agg(F.min(number), F.max(number)).first()
+    part = F.least(F.floor((number - first) * STREAM_FILES / (last - first + 1)), F.lit(STREAM_FILES - 1))
+    for i in range(STREAM_FILES):   # one after the other: a file stream takes files by age
+        timed.where(part == i).select("value").coalesce(1).write.text(f"{folder}/part{i}")
+    lines = line_stream(spark, f"{folder}/part*", maxFilesPerTrigger="1")
+    return runner.event_time(access.accepted(access.parse(lines)), "ts", delay)
 
 
 def stream_status_hourly(spark, d):
@@ -80,24 +89,25 @@ def stream_status_hourly(spark, d):
 
 
 def stream_top_urls(spark, d):
-    """Sliding URL counts; each micro-batch writes its changed windows, sorted by count."""
+    """Sliding URL counts: the state holds slide-sized parts, each micro-batch writes its changed parts, and the
+    reader makes the windows, sorted by count."""
     out = new_run_dir(spark, "stream-urls")
-    entries = _stream_entries(spark, d, f"{out}/in", "1 hour")
-    counts = access.url_counts(entries, SIX_HOURS, timedelta(hours=3))
-    write = sinks.batch_table(f"{out}/rows", prepare=lambda b: b.orderBy(F.col("requests").desc(), "window_start", "url"))
-    runner.run_to_end(counts, write, f"{out}/checkpoint", "update")
-    rows = sinks.read_latest(spark, f"{out}/rows", counts.schema, ["window_start", "url"])
-    return _plain_time(rows.select("window_start", "url", "requests"), "window_start")
+    size, slide = SIX_HOURS, timedelta(hours=3)
+    parts = access.url_buckets(_stream_entries(spark, d, f"{out}/in", "1 hour"), size, slide)
+    runner.run_to_end(parts, sinks.batch_table(f"{out}/rows"), f"{out}/checkpoint", "update")
+    rows = sinks.read_latest(spark, f"{out}/rows", parts.schema, ["bucket_start", "url"])
+    counts = access.url_windows(rows, size, slide).orderBy(F.col("requests").desc(), "window_start", "url")
+    return _plain_time(counts.select("window_start", "url", "requests"), "window_start")
 
 
 def stream_error_alarm(spark, d):
-    """The error-ratio alarm per sliding window, re-evaluated whenever a window changes."""
+    """The error-ratio alarm per sliding window over the slide-sized parts that the stream keeps."""
     out = new_run_dir(spark, "stream-alarm")
-    entries = _stream_entries(spark, d, f"{out}/in", "1 hour")
-    alarms = access.error_alarm(entries, timedelta(days=1), timedelta(hours=6))
-    runner.run_to_end(alarms, sinks.batch_table(f"{out}/rows"), f"{out}/checkpoint", "update")
-    rows = sinks.read_latest(spark, f"{out}/rows", alarms.schema, ["window_start"])
-    return _plain_time(rows.drop("window_end"), "window_start")
+    size, slide = timedelta(days=1), timedelta(hours=6)
+    parts = access.outcome_buckets(_stream_entries(spark, d, f"{out}/in", "1 hour"), size, slide)
+    runner.run_to_end(parts, sinks.batch_table(f"{out}/rows"), f"{out}/checkpoint", "update")
+    rows = sinks.read_latest(spark, f"{out}/rows", parts.schema, ["bucket_start"])
+    return _plain_time(access.alarm_windows(rows, size, slide).drop("window_end"), "window_start")
 
 
 def stream_repeated_messages(spark, d):

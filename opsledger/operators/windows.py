@@ -25,45 +25,62 @@ def tumbling(df: DataFrame, time: str, size: timedelta, keys: Sequence[str],
     return _flat(grouped.agg(*[m.alias(n) for n, m in measures.items()]), keys, measures)
 
 
+Measure = Column | tuple[Column, Callable[[str], Column]]
+
+
 def sliding(df: DataFrame, time: str, size: timedelta, slide: timedelta, keys: Sequence[str],
-            measures: Mapping[str, Column | tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+            measures: Mapping[str, Measure]) -> DataFrame:
     """Sliding windows over counts, sums, and measures given with the aggregate that merges them.
 
     A measure is a count or sum, or a pair such as ``(F.max("x"), F.max)``. Others cannot be merged from
     parts of a window and are refused; an average is a sum and a count.
 
-    In batch, rows are first reduced to one per (slide-aligned bucket, keys) and only those buckets
-    fan out to the size/slide windows that hold them, so the fan-out works on counts instead of
-    raw rows. A stream keeps the single-step form, which every output mode accepts.
+    In batch, rows are first reduced to :func:`buckets` and only those fan out to the windows that hold them. A
+    stream keeps the single-step form, which every output mode accepts, at the price of size/slide copies of each
+    row; a stream that may update its results should keep buckets as state and :func:`spread` them where it is read.
     """
-    size_us, slide_us = _micros(size), _micros(slide)
-    merges = {n: m[1] if isinstance(m, tuple) else _additive(n, m) for n, m in measures.items()}
-    measures = {n: m[0] if isinstance(m, tuple) else m for n, m in measures.items()}
     if df.isStreaming:
-        window = F.window(time, _text(size_us), _text(slide_us))
-        grouped = df.groupBy(window, *keys).agg(*[m.alias(n) for n, m in measures.items()])
-        return _flat(grouped, keys, measures)
-
-    bucket_us = math.gcd(size_us, slide_us)
-    buckets = (
-        df.groupBy(F.window(time, _text(bucket_us)).alias("bucket"), *keys)
-        .agg(*[m.alias(n) for n, m in measures.items()])
-    )
-    latest = F.window("at", _text(slide_us)).getField("start")
+        plain = _plain(measures)
+        window = F.window(time, _text(_micros(size)), _text(_micros(slide)))
+        return _flat(df.groupBy(window, *keys).agg(*[m.alias(n) for n, m in plain.items()]), keys, plain)
+    return spread(buckets(df, time, size, slide, keys, measures), size, slide, keys, measures)
+
+
+def buckets(df: DataFrame, time: str, size: timedelta, slide: timedelta, keys: Sequence[str],
+            measures: Mapping[str, Measure]) -> DataFrame:
+    """``bucket_start, keys, measures``: one row per slide-aligned part of the windows; one copy of each input row."""
+    _merges(measures)
+    part = F.window(time, _text(math.gcd(_micros(size), _micros(slide))))
+    grouped = df.groupBy(part.alias("bucket"), *keys).agg(*[m.alias(n) for n, m in _plain(measures).items()])
+    return grouped.select(F.col("bucket.start").alias("bucket_start"), *keys, *measures)
+
+
+def spread(parts: DataFrame, size: timedelta, slide: timedelta, keys: Sequence[str],
+           measures: Mapping[str, Measure]) -> DataFrame:
+    """The sliding windows that :func:`buckets` belong to, measures merged."""
+    size_us, slide_us = _micros(size), _micros(slide)
+    latest = F.window("bucket_start", _text(slide_us)).getField("start")
     back = (math.ceil(size_us / slide_us) - 1) * slide_us
     every = F.expr(f"INTERVAL '{slide_us / 1e6:.6f}' SECOND")
     span = F.expr(f"INTERVAL '{size_us / 1e6:.6f}' SECOND")
     reach = F.expr(f"INTERVAL '{back / 1e6:.6f}' SECOND")
-    spread = (
-        buckets.withColumn("at", F.col("bucket.start"))
-        .withColumn("latest", latest)
+    fanned = (
+        parts.withColumn("latest", latest)
         .withColumn("window_start", F.explode(F.sequence(F.col("latest") - reach, F.col("latest"), every)))
-        .where(F.col("window_start") + span > F.col("at"))
+        .where(F.col("window_start") + span > F.col("bucket_start"))
     )
-    totals = spread.groupBy("window_start", *keys).agg(*[merge(n).alias(n) for n, merge in merges.items()])
+    totals = fanned.groupBy("window_start", *keys).agg(*[merge(n).alias(n) for n, merge in _merges(measures).items()])
     return totals.select("window_start", (F.col("window_start") + span).alias("window_end"), *keys, *measures)
 
 
+def _plain(measures: Mapping[str, Measure]) -> dict[str, Column]:
+    return {n: m[0] if isinstance(m, tuple) else m for n, m in measures.items()}
+
+
+def _merges(measures: Mapping[str, Measure]) -> dict[str, Callable[[str], Column]]:
+    return {n: m[1] if isinstance(m, tuple) else _additive(n, m) for n, m in measures.items()}
+
+
 def _additive(name: str, measure: Column) -> Callable[[str], Column]:
     if not re.match(r"Column<'(count|count_if|sum|countif)\((?!distinct)", str(measure), re.IGNORECASE):
         raise ValueError(f"measure {name} needs the aggregate that merges it")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from opsledger.functions import access_log as al
 from opsledger.operators import windows
@@ -42,24 +42,48 @@ def status_hourly(entries: DataFrame, time: str = "ts") -> DataFrame:
     return windows.tumbling(entries, time, timedelta(hours=1), ["status"], {"requests": F.count("*")})
 
 
+def _requests() -> dict[str, Column]:
+    return {"requests": F.count("*")}
+
+
 def url_counts(entries: DataFrame, size: timedelta, slide: timedelta, time: str = "ts") -> DataFrame:
     """Requests per URL over sliding windows."""
-    return windows.sliding(entries.where(F.col("url").isNotNull()), time, size, slide, ["url"],
-                           {"requests": F.count("*")})
+    return windows.sliding(entries.where(F.col("url").isNotNull()), time, size, slide, ["url"], _requests())
+
+
+def url_buckets(entries: DataFrame, size: timedelta, slide: timedelta, time: str = "ts") -> DataFrame:
+    """The parts of :func:`url_counts` a stream keeps; :func:`url_windows` makes the windows of them."""
+    return windows.buckets(entries.where(F.col("url").isNotNull()), time, size, slide, ["url"], _requests())
+
+
+def url_windows(parts: DataFrame, size: timedelta, slide: timedelta) -> DataFrame:
+    return windows.spread(parts, size, slide, ["url"], _requests())
 
 
 def agent_counts(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return entries.groupBy(*keys, "agent").agg(F.count("*").alias("total"))
 
 
-def error_alarm(entries: DataFrame, size: timedelta, slide: timedelta, time: str = "ts",
-                minimum: int = 100, threshold: float = 0.5) -> DataFrame:
-    """Success, failure and other counts per sliding window with the alarm state."""
+def _tallies() -> dict[str, Column]:
     outcome = al.status_class(F.col("status"))
-    tallies = {
+    return {
         "success": F.count_if(outcome == "Success"),
         "failure": F.count_if(outcome == "Failure"),
         "other": F.count_if(outcome == "Other"),
     }
-    counts = windows.sliding(entries, time, size, slide, [], tallies)
-    return windows.ratio_alarm(counts, minimum, threshold)
+
+
+def error_alarm(entries: DataFrame, size: timedelta, slide: timedelta, time: str = "ts",
+                minimum: int = 100, threshold: float = 0.5) -> DataFrame:
+    """Success, failure and other counts per sliding window with the alarm state."""
+    return windows.ratio_alarm(windows.sliding(entries, time, size, slide, [], _tallies()), minimum, threshold)
+
+
+def outcome_buckets(entries: DataFrame, size: timedelta, slide: timedelta, time: str = "ts") -> DataFrame:
+    """The parts of :func:`error_alarm` a stream keeps; :func:`alarm_windows` makes the alarms of them."""
+    return windows.buckets(entries, time, size, slide, [], _tallies())
+
+
+def alarm_windows(parts: DataFrame, size: timedelta, slide: timedelta,
+                  minimum: int = 100, threshold: float = 0.5) -> DataFrame:
+    return windows.ratio_alarm(windows.spread(parts, size, slide, [], _tallies()), minimum, threshold)
