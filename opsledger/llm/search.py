@@ -203,6 +203,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     n_blocks = -(-n_pairs // QUERY_PAIRS)
     mean_words = total.words / total.docs
     columns = [c.split(" ")[0] for c in SHARD.split(", ")]
+    # few long tasks: each keeps its k-th scores from shard to shard and sends k rows a query
+    n_tasks = 2 * spark.sparkContext.defaultParallelism
     parts = []
     for i in range(n_blocks):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).collect()
@@ -223,7 +225,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                  pa.array(np.concatenate([*(b[1] for b in best), none[1]])),
                  pa.array(np.concatenate([*(b[0] for b in best), none[0]]))], ["query_id", "doc_id", "score"])
 
-        parts.append(store(shards.mapInArrow(find, schema), "search-found"))
+        parts.append(store(shards.coalesce(n_tasks).mapInArrow(find, schema), "search-found"))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     every = parts[0]
