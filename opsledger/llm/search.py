@@ -7,7 +7,8 @@ all shards, so scores do not depend on the sharding.
 
 A search reads a shard with blocks of ``BLOCK`` documents. The largest weight of each word in each block bounds a
 block's scores; the query's bounds are summed per block, and blocks are scored in order of their bounds, a few at
-first and then twice as many, until no bound reaches the k-th score. That score is kept from shard to shard of a task.
+first and then more, until no bound reaches the k-th score. Weights of words that stand in one of ``COMMON``
+documents are laid out densely, block by block; all others are postings. That score is kept from shard to shard of a task.
 The k best of every task are merged by score, then by smaller doc_id.
 
 Queries go through the shards in blocks of about ``QUERY_PAIRS`` (query, word) pairs, which are broadcast.
@@ -29,7 +30,8 @@ from .shared import pieces, small_batches, store, table
 from .shingles import ranges, word_hashes
 
 K, K1, B = 10, 1.2, 0.75
-SHARD_WORDS, BLOCK, FIRST_BLOCKS = 3_000_000, 64, 4
+SHARD_WORDS, BLOCK, FIRST_BLOCKS, GROWTH = 3_000_000, 64, 16, 16
+COMMON = 16  # words of one document in so many are kept in dense blocks
 QUERY_PAIRS = 2_000_000
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 _NORMAL = bytes(32 if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -139,15 +141,25 @@ class Shard:
         counts = np.frombuffer(row["counts"], row["counts_type"]).astype(np.float64)
         norm = k1 * (1 - b + b * lengths / mean_words)
         self.weights = counts * (k1 + 1) / (counts + norm[self.rows])
-        # cells: postings of one word in one block
+        self.n_blocks = -(-len(self.ids) // BLOCK)
         term_of = np.repeat(np.arange(len(terms)), np.diff(starts))
         block = self.rows // BLOCK
-        new = np.concatenate([[True], (term_of[1:] != term_of[:-1]) | (block[1:] != block[:-1])])
-        self.cells = np.append(np.flatnonzero(new), len(new))
-        self.cell_block = block[self.cells[:-1]]
-        self.cell_most = np.maximum.reduceat(self.weights, self.cells[:-1])
-        self.term_cells = np.searchsorted(self.cells, starts)
-        self.n_blocks = -(-len(self.ids) // BLOCK)
+        # words of many documents: a dense table of weights by block, of at most ``COMMON`` times the postings
+        self.common = np.full(len(terms), -1)
+        often = np.flatnonzero(np.diff(starts) * COMMON >= len(self.ids))
+        self.common[often] = np.arange(len(often))
+        dense = self.common[term_of] >= 0
+        self.table = np.zeros((len(often), self.n_blocks, BLOCK))
+        self.table[self.common[term_of[dense]], block[dense], self.rows[dense] % BLOCK] = self.weights[dense]
+        self.table_most = self.table.max(axis=2)
+        # all others in cells: postings of one word in one block
+        self.rows, self.weights, block = self.rows[~dense], self.weights[~dense], block[~dense]
+        cell = term_of[~dense] * self.n_blocks + block
+        new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        self.cells = np.append(new, len(cell))
+        self.cell_block = block[new]
+        self.cell_most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
+        self.term_cells = np.searchsorted(cell[new], np.arange(len(terms) + 1) * self.n_blocks)
         order = np.argsort(terms, kind="stable")  # stored in order of the unsigned hash
         self.terms, self.places = terms[order], order
 
@@ -159,27 +171,32 @@ class Shard:
         at, weights = self.places[at[here]], weights[here]
         if not len(at):
             return best
+        dense = self.common[at] >= 0
+        common, common_weights = self.common[at[dense]], weights[dense]
+        at, weights = at[~dense], weights[~dense]
         cells, which = ranges(self.term_cells[at], self.term_cells[at + 1])
-        weight = weights[which]
-        bounds = np.bincount(self.cell_block[cells], weight * self.cell_most[cells], self.n_blocks)
+        weight, block = weights[which], self.cell_block[cells]
+        bounds = np.bincount(block, weight * self.cell_most[cells], self.n_blocks)
+        bounds = bounds + common_weights @ self.table_most[common]
         order = np.argsort(-bounds, kind="stable")
         begin, n = 0, FIRST_BLOCKS
         while begin < self.n_blocks:
-            least = best[0][k - 1] if len(best[0]) >= k else 0.0
+            least = (best[0][k - 1] if len(best[0]) >= k else 0.0) * (1 - 1e-12)
             chosen = order[begin:begin + n]
-            chosen = chosen[bounds[chosen] >= least * (1 - 1e-12)]
-            chosen = chosen[bounds[chosen] > 0]
+            chosen = chosen[(bounds[chosen] >= least) & (bounds[chosen] > 0)]
             if not len(chosen):
                 break
-            wanted = np.zeros(self.n_blocks, bool)
-            wanted[chosen] = True
-            mask = wanted[self.cell_block[cells]]
-            part = cells[mask]
-            postings, cell = ranges(self.cells[part], self.cells[part + 1])
-            scores = np.bincount(self.rows[postings], weight[mask][cell] * self.weights[postings], len(self.ids))
-            found = np.flatnonzero((scores > 0) & (scores >= least * (1 - 1e-12)))
-            best = self.top(np.concatenate([best[0], scores[found]]), np.concatenate([best[1], self.ids[found]]), k)
-            begin, n = begin + n, n * 2
+            scores = common_weights @ self.table[common[:, None], chosen].reshape(len(common), -1)
+            place = np.full(self.n_blocks, -1)
+            place[chosen] = np.arange(len(chosen))
+            part = np.flatnonzero(place[block] >= 0)
+            postings, cell = ranges(self.cells[cells[part]], self.cells[cells[part] + 1])
+            row = place[block[part]][cell] * BLOCK + self.rows[postings] % BLOCK
+            scores = scores + np.bincount(row, weight[part][cell] * self.weights[postings], scores.size)
+            found = np.flatnonzero((scores > 0) & (scores >= least))
+            docs = chosen[found // BLOCK] * BLOCK + found % BLOCK
+            best = self.top(np.concatenate([best[0], scores[found]]), np.concatenate([best[1], self.ids[docs]]), k)
+            begin, n = begin + n, n * GROWTH
         return best
 
     @staticmethod
