@@ -186,7 +186,7 @@ class Shard:
             chosen = chosen[(bounds[chosen] >= least) & (bounds[chosen] > 0)]
             if not len(chosen):
                 break
-            scores = common_weights @ self.table[common[:, None], chosen].reshape(len(common), -1)
+            scores = common_weights @ self.table[common[:, None], chosen].reshape(len(common), len(chosen) * BLOCK)
             place = np.full(self.n_blocks, -1)
             place[chosen] = np.arange(len(chosen))
             part = np.flatnonzero(place[block] >= 0)

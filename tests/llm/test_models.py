@@ -118,7 +118,9 @@ def test_search_equals_all_scores(spark, monkeypatch):
     r = random.Random(9)
     docs = [(i, " ".join(r.choice("abcdefgh") * r.randrange(1, 5) for _ in range(r.randrange(0, 60)))) for i in range(700)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    queries = [(i, docs[i][1]) for i in range(0, 700, 50)]
+    docs += [(900 + i, f"rare{i} rare{i // 2}") for i in range(6)]  # words that stand in few documents only
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    queries = [*[(i, docs[i][1]) for i in range(0, 700, 50)], (700, "rare1 rare2 rare3"), (701, "rare5")]
     rows = search.search(frame, spark.createDataFrame(queries, "query_id long, text string"), k=7).collect()
     for q, text in queries:
         same([x for x in rows if x.query_id == q], best(docs, text, 7))
