@@ -30,7 +30,7 @@ from .shared import pieces, small_batches, store, table
 from .shingles import ranges, word_hashes
 
 K, K1, B = 10, 1.2, 0.75
-SHARD_WORDS, BLOCK, FIRST_BLOCKS, GROWTH = 3_000_000, 64, 16, 16
+SHARD_WORDS, BLOCK, FIRST_BLOCKS, GROWTH = 5_000_000, 64, 16, 16
 COMMON = 16  # words of one document in so many are kept in dense blocks
 QUERY_PAIRS = 2_000_000
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
