@@ -62,4 +62,7 @@ def shipped(spark: SparkSession, model: object) -> Broadcast:
 
 
 def opened(parcel: Broadcast):
-    return pickle.loads(parcel.value)
+    """The model, opened once by each worker process."""
+    if not hasattr(parcel, "opened_model"):
+        parcel.opened_model = pickle.loads(parcel.value)
+    return parcel.opened_model

@@ -1,18 +1,22 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over inverted indexes, weighted votes.
 
-Terms are lower-case words and their beginnings of ``PREFIXES`` letters. The space is spanned by terms that go with
-the label: a likelihood-ratio test over the examples, corrected for the number of terms tried. Document frequencies of
-these terms are counted over all documents. The examples' vectors form an inverted index whose postings are cut into
-blocks of ``BLOCK`` examples, with the largest weight of each term in each block. A text's bound for a block is the sum
-of its weights times those maxima; blocks are scored from the largest bound down until no bound reaches the k-th
-cosine, so the ``K`` nearest examples are exact. Their votes, weighted by squared cosine, are turned into a probability by
-a logistic curve fitted to the examples themselves, each without its own vote.
+A text has two votes. The first compares whole texts: the lower-case words of the examples span the space, document
+frequencies are counted over all documents, and the ``K`` examples with the largest cosine vote with the odds
+cosine ** 2 / (1 - cosine ** 2), so a near copy outvotes texts that share only common words. All cosines are computed:
+the postings of most words, and a dense block for the ``COMMON`` words most examples have. The second looks closer at
+terms that go with the label, words and their beginnings of ``PREFIXES`` letters that pass a likelihood-ratio test over
+the examples, corrected for the number of terms tried. Its index cuts postings into blocks of ``BLOCK`` examples with
+the largest weight of each term in each block; blocks are scored from the largest bound down until no bound reaches the
+k-th cosine, so these nearest examples are exact too. Without such terms this vote is 0 and the first one stands alone.
 
-The classifier is fitted on at most ``MAX_EXAMPLES`` labelled rows (those with the smallest hashed ids) and
-``MAX_TERMS`` terms; index and model are of that size whatever the input and are broadcast.
+Both votes are turned into a probability by a logistic curve. It is fitted to every example twice: without its own vote,
+as a new text, and with its own vote among whole texts, as a copy.
 
-Defined cases: null and empty texts, and texts without such terms, get the score of no votes; labels without a
-document, null labels and null ids are left out; a document with several labels counts as toxic if one says so; without
+The classifier is fitted on at most ``MAX_EXAMPLES`` labelled rows (those with the smallest hashed ids). Their texts
+bound the words; at most ``MAX_TERMS`` terms go with the label. Indexes and model are broadcast.
+
+Defined cases: null and empty texts, and texts without words of the examples, get the score of no votes; labels
+without a document, null labels and null ids are left out; a document with several labels counts as toxic if one says so; without
 toxic examples every score is the share of toxic labels (0 without labels); ties between examples go to the smaller
 id; repeated rows are scored alike; an empty table gives no rows. Extra columns do not matter.
 """
@@ -42,6 +46,9 @@ K = 15
 PRIOR_VOTE = 0.5
 THRESHOLD = 0.3
 EVIDENCE = 5
+COMMON, TEXTS = 256, 64
+MARGIN = 1e-5  # larger than the rounding of single-precision cosines
+COUNT_BLOCKS = 32
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -60,16 +67,24 @@ def text_terms(text: str | None) -> Counter:
 
 
 class Vectors:
-    """Counts of the chosen terms in texts; words that begin like no term are passed over, others are looked up."""
+    """Counts of the examples' words and of the label's terms in texts.
+
+    Words that begin like no term are passed over for the terms, others are looked up.
+    """
 
-    def __init__(self, terms: dict[str, int]):
-        self.terms, self.known = terms, {}
-        self.heads = {t[:3] for t in terms}
+    def __init__(self, terms: tuple[dict[str, int], dict[str, int]]):
+        self.words, self.terms = terms
+        self.known: dict[str, list[int]] = {}
+        self.heads = {t[:3] for t in self.terms}
 
-    def counts(self, text: str | None) -> dict[int, int]:
+    def counts(self, text: str | None) -> tuple[dict[int, int], dict[int, int]]:
+        whole: dict[int, int] = {}
         found: dict[int, int] = {}
-        heads = self.heads
+        words, heads = self.words, self.heads
         for word, n in Counter(_WORD.findall((text or "").lower())).items():
+            i = words.get(word)
+            if i is not None:
+                whole[i] = n
             if (word[:3] if len(word) > 2 else word + "$") not in heads:
                 continue
             ids = self.known.get(word)
@@ -79,13 +94,17 @@ class Vectors:
                 ids = self.known[word] = [self.terms[t] for t in word_terms(word) if t in self.terms]
             for i in ids:
                 found[i] = found.get(i, 0) + n
-        return found
+        return whole, found
 
 
 def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term ids and weights of length one."""
-    ids = np.array(sorted(counts), np.int64)
-    weights = (1 + np.log([counts[i] for i in ids.tolist()])) * idf[ids] if len(ids) else np.zeros(0)
+    return weigh_arrays(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)), idf)
+
+
+def weigh_arrays(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(ids)
+    ids, weights = ids[order], (1 + np.log(counts[order])) * idf[ids[order]]
     return ids, weights / np.sqrt((weights ** 2).sum()) if len(ids) else weights
 
 
@@ -132,16 +151,81 @@ class BlockMaxIndex:
         return rows, values
 
 
+class WordIndex:
+    """Exact nearest examples by inner product, for vectors of many words, several texts at once."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_words: int, common: int = COMMON):
+        self.n = len(vectors)
+        rows = np.repeat(np.arange(self.n, dtype=np.int32), [len(v[0]) for v in vectors])
+        words = np.concatenate([*(v[0] for v in vectors), np.zeros(0, np.int32)]).astype(np.int32)
+        weights = np.concatenate([*(v[1].astype(np.float32) for v in vectors), np.zeros(0, np.float32)])
+        sizes = np.bincount(words, minlength=n_words)
+        often = np.argsort(-sizes, kind="stable")[:common]
+        self.place = np.full(n_words, -1, np.int32)
+        self.place[often] = np.arange(len(often))
+        dense = self.place[words] >= 0
+        self.dense = np.zeros((self.n, len(often)), np.float32)
+        self.dense[rows[dense], self.place[words[dense]]] = weights[dense]
+        rows, words, weights = rows[~dense], words[~dense], weights[~dense]
+        order = np.argsort(words, kind="stable")
+        self.rows, self.weights = rows[order], weights[order]
+        self.starts = np.searchsorted(words[order], np.arange(n_words + 1))
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None):
+        """Per text (rows, cosines) of the k largest positive cosines; ties go to the smaller row."""
+        often = np.zeros((len(texts), self.dense.shape[1]))
+        for t, (ids, weights) in enumerate(texts):
+            mine = self.place[ids] >= 0
+            often[t, self.place[ids[mine]]] = weights[mine]
+        near = often.astype(np.float32) @ self.dense.T
+        out = []
+        for t, (ids, weights) in enumerate(texts):
+            mine = self.place[ids] < 0
+            postings, word = ranges(self.starts[ids[mine]], self.starts[ids[mine] + 1])
+            rest = np.bincount(self.rows[postings], weights[mine][word] * self.weights[postings], self.n)
+            about = near[t] + rest
+            if without is not None:
+                about[without[t]] = -1
+            least = np.partition(about, self.n - k)[self.n - k] if self.n > k else 0.0
+            rows = np.flatnonzero((about >= least - MARGIN) & (about > 0))
+            values = rest[rows] + self.dense[rows].astype(np.float64) @ often[t]
+            best = np.lexsort((rows, -values))[:k]
+            out.append((rows[best], np.minimum(values[best], 1.0)))
+        return out
+
+
 @dataclass
 class Model:
-    terms: dict[str, int]
+    terms: tuple[dict[str, int], dict[str, int]]  # the examples' words and the label's terms
+    word_idf: np.ndarray
     idf: np.ndarray
+    words: WordIndex | None
     index: BlockMaxIndex | None
     toxic: np.ndarray
     ids: np.ndarray
-    slope: float
+    slopes: np.ndarray
     offset: float
 
+    def word_vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
+        """The vote of the examples whose whole texts are nearest."""
+        votes = cosines ** 2 / (1.001 - cosines ** 2)
+        return float((votes * self.toxic[rows]).sum() / (votes.sum() + PRIOR_VOTE))
+
+    def nearest_words(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(texts), TEXTS):
+            yield from self.words.nearest(texts[at:at + TEXTS], K)
+
+    def own_word_votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Votes of the nearest for each example: without itself, and with itself."""
+        out = np.zeros((2, len(texts)))
+        for at in range(0, len(texts), TEXTS):
+            part = list(range(at, min(at + TEXTS, len(texts))))
+            for i, (rows, cosines) in zip(part, self.words.nearest(texts[at:at + TEXTS], K, part), strict=True):
+                out[0, i] = self.word_vote(rows, cosines)
+                own = float(len(texts[i][0]) > 0)
+                out[1, i] = self.word_vote(np.append(i, rows[:K - 1]), np.append(own, cosines[:K - 1]))
+        return out
+
     def vote(self, ids: np.ndarray, weights: np.ndarray, without: int | None = None) -> tuple[float, np.ndarray]:
         if self.index is None:
             return 0.0, np.zeros(0, np.int64)
@@ -149,24 +233,35 @@ class Model:
         votes = cosines ** 2
         return float((votes * self.toxic[rows]).sum() / (votes.sum() + PRIOR_VOTE)), rows
 
+    def scores(self, vectors: Vectors, texts: list[str | None]) -> list[tuple[float, list[int]]]:
+        counts = [vectors.counts(t) for t in texts]
+        none = np.zeros(0, np.int64)
+        whole = self.nearest_words([weigh(c, self.word_idf) for c, _ in counts]) if self.words else [(none, none)] * len(texts)
+        out = []
+        for (rows, cosines), (_, found) in zip(whole, counts, strict=True):
+            by_words = self.word_vote(rows, cosines)
+            by_terms, closer = self.vote(*weigh(found, self.idf)) if found else (0.0, [])
+            rows = closer if len(closer) else rows
+            p = 1 / (1 + np.exp(-(self.slopes @ (by_words, by_terms) + self.offset)))
+            out.append((float(p), [int(self.ids[r]) for r in rows[:EVIDENCE]]))
+        return out
+
     def score(self, vectors: Vectors, text: str | None) -> tuple[float, list[int]]:
-        counts = vectors.counts(text)
-        vote, rows = self.vote(*weigh(counts, self.idf)) if counts else (0.0, [])
-        return float(1 / (1 + np.exp(-(self.slope * vote + self.offset)))), [int(self.ids[r]) for r in rows[:EVIDENCE]]
+        return self.scores(vectors, [text])[0]
 
 
-def calibrate(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton's method with smoothed targets and a slight penalty."""
+def calibrate(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a logistic curve, by Newton's method with smoothed targets and a slight penalty."""
     up = toxic.sum()
     target = np.where(toxic > 0, (up + 1) / (up + 2), 1 / (len(toxic) - up + 2))
-    x, at = np.stack([votes, np.ones_like(votes)], 1), np.zeros(2)
+    x, at = np.column_stack([votes, np.ones(len(votes))]), np.zeros(votes.shape[1] + 1)
     for _ in range(60):
         p = 1 / (1 + np.exp(-x @ at))
         slope = x.T @ (p - target) + 1e-3 * at
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(at))
         step = np.linalg.solve(curve, slope)
         at = at - step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
-    return max(float(at[0]), 0.0), float(at[1])
+    return np.maximum(at[:-1], 0.0), float(at[-1])
 
 
 def examples(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
@@ -210,6 +305,42 @@ def choose_terms(known: DataFrame, toxic: int, clean: int) -> dict[str, int]:
     return {row.term: i for i, row in enumerate(best.select("term").collect())}
 
 
+def frequencies(docs: DataFrame, terms: tuple[dict[str, int], dict[str, int]]) -> tuple[int, np.ndarray]:
+    """The number of documents, and in how many of them each word and then each term stands."""
+    n_words = len(terms[0])
+    n = n_words + len(terms[1])
+    each = -(-n // COUNT_BLOCKS)
+    parcel = shipped(docs.sparkSession, terms)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, seen, total = Vectors(opened(parcel)), np.zeros(n, np.int32), 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                whole, found = vectors.counts(text)
+                seen[list(whole)] += 1
+                seen[[n_words + i for i in found]] += 1
+                total += 1
+        if total:
+            parts = [seen[i * each:(i + 1) * each].tobytes() for i in range(COUNT_BLOCKS)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*range(COUNT_BLOCKS), -1], pa.int32()),
+                 pa.array([*parts, np.array([total], np.int32).tobytes()], pa.binary())], ["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(data, np.int32).astype(np.int64)
+        for i, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
+                                             ["block", "counts"])
+
+    schema = "block int, counts binary"
+    parts = docs.select("text").mapInArrow(count, schema).repartition(COUNT_BLOCKS, "block").mapInArrow(add, schema)
+    sums = {r.block: np.frombuffer(r.counts, np.int64) for r in parts.collect()}
+    return int(sums[-1][0]), np.concatenate([sums[i] for i in range(COUNT_BLOCKS)])
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Model:
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -217,40 +348,48 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Model:
     sizes = {r.toxic: r.n for r in known.groupBy(F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
              .agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    terms = choose_terms(known, toxic, clean) if toxic and clean else {}
     none = np.zeros(0, np.int64)
-    if not terms:
+    if not toxic or not clean:
         share = min(max(toxic / max(toxic + clean, 1), 1e-6), 1 - 1e-6)
-        return Model({}, np.zeros(0), None, none, none, 0.0, float(np.log(share / (1 - share))))
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, seen, total = Vectors(terms), np.zeros(len(terms), np.int64), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen[list(vectors.counts(text))] += 1
-                total += 1
-        yield pa.RecordBatch.from_arrays([pa.array([*range(len(terms)), -1]), pa.array([*seen.tolist(), total])], ["term", "n"])
-
-    counted = docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    sums = {r.term: r.n for r in counted.collect()}
-    idf = np.array([np.log((sums[-1] + 1) / (sums[i] + 1)) + 1 for i in range(len(terms))])
+        return Model(({}, {}), np.zeros(0), np.zeros(0), None, None, none, none, np.zeros(2),
+                     float(np.log(share / (1 - share))))
+    terms = choose_terms(known, toxic, clean)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = Vectors(terms)
+        vectors = Vectors(({}, terms))
         for batch in batches:
-            found = [sorted(vectors.counts(t).items()) for t in batch.column(2).to_pylist()]
+            texts = batch.column(2).to_pylist()
+            bags = [Counter(_WORD.findall((t or "").lower())) for t in texts]
+            found = [sorted(vectors.counts(t)[1].items()) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())),
-                 pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))], ["doc_id", "toxic", "terms", "counts"])
+                [batch.column(0), batch.column(1), pa.array([" ".join(b) for b in bags], pa.string()),
+                 pa.array([np.array(list(b.values()), np.int32).tobytes() for b in bags], pa.binary()),
+                 pa.array([np.array(f, np.int32).tobytes() for f in found], pa.binary())],
+                ["doc_id", "toxic", "words", "counts", "terms"])
 
     rows = known.select("doc_id", "toxic", "text").mapInArrow(
-        describe, "doc_id long, toxic int, terms array<long>, counts array<long>")
-    rows = sorted(rows.collect(), key=lambda r: r.doc_id)  # at most ``limit`` rows of few terms
-    vectors = [weigh(dict(zip(r.terms, r.counts, strict=True)), idf) for r in rows]
-    model = Model(terms, idf, BlockMaxIndex(vectors, len(terms)), np.array([float(r.toxic > 0) for r in rows]),
-                  np.array([r.doc_id for r in rows]), 0.0, 0.0)
-    votes = np.array([model.vote(*v, without=i)[0] for i, v in enumerate(vectors)])
-    model.slope, model.offset = calibrate(votes, model.toxic)
+        describe, "doc_id long, toxic int, words string, counts binary, terms binary")
+    rows = sorted(rows.collect(), key=lambda r: r.doc_id)  # at most ``limit`` rows
+    words: dict[str, int] = {}
+    bags = [(np.array([words.setdefault(w, len(words)) for w in r.words.split()], np.int32),
+             np.frombuffer(r.counts, np.int32)) for r in rows]
+    found = [dict(np.frombuffer(r.terms, np.int32).reshape(-1, 2).tolist()) for r in rows]
+    ids, marks = np.array([r.doc_id for r in rows]), np.array([float(r.toxic > 0) for r in rows])
+    del rows
+    total, seen = frequencies(docs, (words, terms))
+    idf = np.log((total + 1) / (seen + 1)) + 1
+    word_idf, idf = idf[:len(words)], idf[len(words):]
+    whole = []
+    while bags:
+        at, weights = weigh_arrays(*bags.pop(), word_idf)
+        whole.append((at, weights.astype(np.float32)))
+    whole.reverse()
+    vectors = [weigh(f, idf) for f in found]
+    model = Model((words, terms), word_idf, idf, WordIndex(whole, len(words)),
+                  BlockMaxIndex(vectors, len(terms)) if terms else None, marks, ids, np.zeros(2), 0.0)
+    by_terms = np.array([model.vote(*v, without=i)[0] for i, v in enumerate(vectors)])
+    votes = np.concatenate([np.column_stack([v, by_terms]) for v in model.own_word_votes(whole)])
+    model.slopes, model.offset = calibrate(votes, np.tile(marks, 2))
     return model
 
 
@@ -264,7 +403,7 @@ def scored(text: Column, model: Model, spark) -> Column:
         known = opened(parcel)
         vectors = Vectors(known.terms)
         for texts in batches:
-            yield pd.DataFrame([known.score(vectors, t) for t in texts], columns=["score", "evidence"])
+            yield pd.DataFrame(known.scores(vectors, texts.tolist()), columns=["score", "evidence"])
 
     return score(text.cast("string"))
 

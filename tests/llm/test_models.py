@@ -136,3 +136,50 @@ def test_search_cases(spark, messy, nothing):
         same([x for x in rows if x.query_id == q], best(docs, text))
     assert search.search(nothing, queries).count() == 0
     assert search.search(messy, queries.limit(0)).count() == 0
+
+
+def near_copies(docs, ids):
+    """Copies of the documents in which every tenth word is another one."""
+    texts = {r.doc_id: r.text for r in docs.where(docs["doc_id"].isin(ids)).collect()}
+    return [" ".join(f"other{n}x" if n % 10 == 9 else w for n, w in enumerate(texts[i].split())) for i in ids]
+
+
+@there
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_near_copies_of_toxic_examples_at_every_size(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    vectors = toxicity.Vectors(model.terms)
+    for label in (1, 0):
+        ids = [int(i) for i, t in zip(model.ids, model.toxic, strict=True) if t == label][:60]
+        found = [s >= toxicity.THRESHOLD for s, _ in model.scores(vectors, near_copies(docs, ids))]
+        assert sum(found) >= 0.95 * len(found) if label else sum(found) <= 0.1 * len(found)
+
+
+def test_examples_are_compared_without_terms_of_the_label(spark):
+    rows = invented(4, 60, 0.0)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], int(r[0] % 9 == 0)) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert not model.terms[1]
+    toxic = [int(i) for i, t in zip(model.ids, model.toxic, strict=True) if t]
+    scores = model.scores(toxicity.Vectors(model.terms), [*near_copies(docs, toxic), "words of none"])
+    assert all(s >= toxicity.THRESHOLD and e[0] == i for (s, e), i in zip(scores, toxic, strict=False))
+    assert scores[-1][0] < toxicity.THRESHOLD
+
+
+def test_word_index_equals_all_cosines():
+    r = np.random.default_rng(2)
+    dense = np.where(r.random((700, 90)) < 0.1, r.random((700, 90)), 0).astype(np.float32).astype(float)
+    dense[:, :5] = r.random((700, 5)).astype(np.float32)
+    dense[500:520] = dense[0]  # ties
+    dense /= 4
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = toxicity.WordIndex(vectors, 90, common=6)
+    asked = list(range(0, 700, 37))
+    for q, (rows, values) in zip(asked, index.nearest([vectors[q] for q in asked], 15), strict=True):
+        cosines = np.round(dense @ dense[q], 12)
+        order = [x for x in np.lexsort((np.arange(700), -cosines))[:15] if cosines[x] > 0]
+        assert np.allclose(values, np.minimum(cosines[order], 1))
+        assert set(rows) == set(order) or np.isclose(cosines[order][-1], values[-1])
