@@ -43,14 +43,14 @@ def cell_bits(n_docs: int) -> int:
     return min(max(MIN_CELL_BITS, int(n_docs * 4).bit_length()), MAX_CELL_BITS)
 
 
-def frequency_classes(docs: DataFrame, width: int, bits: int) -> np.ndarray:
+def frequency_classes(docs: DataFrame, width: int, bits: int, make_sets=shingle_sets) -> np.ndarray:
     """Class of the document frequency of each cell, 4 log2 of it, as bytes; at most 2 ** ``MAX_CELL_BITS`` of them."""
     each = (1 << bits) // CELL_BLOCKS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            sets = shingle_sets(batch.column(0).to_pylist(), width)
+            sets = make_sets(batch.column(0).to_pylist(), width)
             found = np.concatenate([*sets, np.zeros(0, np.uint64)])
             cells += np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         if cells.any():
