@@ -2,13 +2,15 @@
 
 A page becomes a flat list of blocks, cut at block-level tags. A block is described by its word count and link
 density, those of its neighbours, and whether it stands in an article, a heading, a page-frame element (nav, footer,
-aside, form ...) or an element whose class, id or role names such a part. The tree is trained on the blocks of
+aside, form ...) or an element whose class, id or role names such a part. Such names count neither on elements outside
+articles that come to hold an article, a main or a first heading, nor in compounds like has-sidebar or sidebar-wrap; names
+of reader comments always count. The tree is trained on the blocks of
 ``extract_pages.PAGES``, where ``keep`` marks the main text. Scripts, styles, comments, markup and titles never give
 text; character references are decoded; white space inside a block becomes one space; blocks are joined by an empty
 line.
 
 Defined cases: null and empty html give the empty text; a tag cut off at the end of a page is dropped; tags that
-are not closed end with their parent; text of any length is read once, in linear time; repeated rows give equal rows;
+are not closed end with their parent, but scripts, styles, titles, text areas and frames run to the end of the page; text of any length is read once, in linear time; repeated rows give equal rows;
 an empty table gives none. Extra columns do not matter.
 """
 
@@ -36,6 +38,7 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 
 # elements whose content is not text of the page
 RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "math", "select", "object", "canvas"}
+TO_THE_END = {"script", "style", "title", "textarea", "iframe"}  # hold raw text, also without an end tag
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
           "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
@@ -46,6 +49,8 @@ HINT = re.compile(
     r"side|menu|nav\w*|comments?|commentlist|replies|reply|respond|disqus|footer|header|masthead|share|social|related|"
     r"recommend\w*|newsletter|subscribe|signup|login|breadcrumbs?|pagination|popup|modal|widget|toolbar|complementary|"
     r"contentinfo|search|hidden|copyright|legal)(?:$|[\s_-])", re.IGNORECASE)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|respond|disqus)(?:$|[\s_-])", re.IGNORECASE)
+COMPOUND = re.compile(r"(?:^|[_-])(?:has|no|with)[_-]|[_-]wrap(?:per)?$", re.IGNORECASE)  # says something of a page's layout
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_frame", "hinted",
             "in_article", "heading")
 
@@ -68,10 +73,17 @@ class _Open:
     stack: list = field(default_factory=list)
     names: Counter = field(default_factory=Counter)
     flags: Counter = field(default_factory=Counter)
+    named: list = field(default_factory=list)  # numbers of open elements whose hint goes if they hold an article
+    withdrawn: set = field(default_factory=set)
+    pushed: int = 0
 
     def push(self, name: str, attributes: str) -> None:
         marks = []
         inside = self.flags["article"] > 0
+        if name in ("article", "main", "h1") and not inside:
+            self.withdrawn.update(self.named)
+            self.named.clear()
+        self.pushed += 1
         if name in ("article", "main"):
             marks.append("article")
         if name in FRAME and not (name == "header" and inside):
@@ -81,12 +93,16 @@ class _Open:
         if attributes.strip():
             pairs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
             words = " ".join(pairs.get(k, "") for k in ("class", "id", "role", "aria-label"))
-            if name not in ("body", "html") and (HINT.search(words) or "hidden" in pairs
-                                                 or "display:none" in pairs.get("style", "").replace(" ", "")):
-                marks.append("hint")
+            words = " ".join(w for w in words.split() if not COMPOUND.search(w))
+            if name not in ("body", "html"):
+                if ("hidden" in pairs or "display:none" in pairs.get("style", "").replace(" ", "") or COMMENTS.search(words)
+                        or inside and name != "main" and HINT.search(words)):
+                    marks.append("hint")
+                elif name not in ("article", "main", "h1") and HINT.search(words):
+                    self.named.append(self.pushed)
             if "keep" in pairs:
                 marks.append("keep")
-        self.stack.append((name, marks))
+        self.stack.append((name, marks, self.pushed))
         self.names[name] += 1
         self.flags.update(marks)
 
@@ -94,7 +110,9 @@ class _Open:
         if not self.names[name]:
             return
         while True:
-            last, marks = self.stack.pop()
+            last, marks, number = self.stack.pop()
+            if self.named and self.named[-1] == number:
+                self.named.pop()
             self.names[last] -= 1
             self.flags.subtract(marks)
             if last == name:
@@ -106,6 +124,8 @@ def blocks(html: str | None) -> list[Block]:
     if not html:
         return out
     opened, parts, linked, at = _Open(), [], 0, 0
+    innermost: list[int] = []  # per block, the number of the innermost open element that may lose its hint, or 0
+    endless: set[str] = set()
 
     def cut() -> None:
         nonlocal linked
@@ -114,6 +134,7 @@ def blocks(html: str | None) -> list[Block]:
             flags = opened.flags
             out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), flags["frame"] > 0,
                              flags["hint"] > 0, flags["article"] > 0, flags["heading"] > 0, flags["keep"] > 0))
+            innermost.append(opened.named[-1] if opened.named else 0)
         parts.clear()
         linked = 0
 
@@ -142,9 +163,14 @@ def blocks(html: str | None) -> list[Block]:
         if tag[1]:
             opened.pop(name)
         elif name in RAW:
-            if not tag[3].rstrip().endswith("/"):
+            if not tag[3].rstrip().endswith("/") and name not in endless:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
-                at = end.end() if end else len(html)
+                if end:
+                    at = end.end()
+                elif name in TO_THE_END:
+                    at = len(html)
+                else:
+                    endless.add(name)  # no later one has an end tag either
         elif name not in VOID and not (tag[3].rstrip().endswith("/") and name in INLINE):
             if opened.names["p"] and name not in INLINE:
                 opened.pop("p")  # a paragraph ends where another block begins
@@ -152,6 +178,8 @@ def blocks(html: str | None) -> list[Block]:
                 opened.pop(name)
             opened.push(name, tag[3])
     cut()
+    for block, number in zip(out, innermost, strict=True):
+        block.hinted |= number > 0 and number not in opened.withdrawn
     return out
 
 

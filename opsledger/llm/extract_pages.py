@@ -36,4 +36,8 @@ PAGES = [
     # links inside an article's prose, and a share bar
     f"<body><article><h2 keep>{SHORT}</h2><p keep><a href='/s'>{SHORT}</a></p><p keep>{LONG} <a href='/q'>{MIDDLE}</a></p>"
     f"<div class='share'><a href='/f'>Share this</a></div><p keep><a href='/t'>{MIDDLE}</a></p></article>{MENU}</body>",
+    # articles inside elements that are named like parts of the frame
+    f"<body>{MENU}<div class='search'><div class='sidebar'><p>{LONG}</p></div><article><h1 keep>{MIDDLE}</h1><p keep>{LONG}</p>"
+    f"<p keep>{SHORT}</p></article></div><div class='legal'><p>{LONG}</p></div></body>",
+    f"<body><main class='sidebar'><p keep>{LONG}</p><p keep>{SHORT}</p><div class='related'><p>{MIDDLE}</p></div></main></body>",
 ]

@@ -43,3 +43,24 @@ def test_frame(spark):
     got = {r.page_id: r.found for r in frame.select("page_id", extract.extract(frame).alias("found")).collect()}
     assert got == {i: w for i, (_, w) in enumerate(CASES)} | {None: ""}
     assert frame.limit(0).select(extract.extract(frame)).count() == 0
+
+
+@pytest.mark.parametrize("html,want", [
+    *((f"<body><nav><a href=/>Home</a></nav>{a}<p>{PROSE}</p>{b}<footer>{PROSE}</footer></body>", PROSE) for a, b in [
+        ("<main class='has-sidebar'>", "</main>"), ("<div class='no-sidebar'><article>", "</article></div>"),
+        ("<div class='content-sidebar-wrap'><main>", "</main></div>"), ("<article class='post legal'>", "</article>"),
+        ("<div class='search'><article>", "</article></div>"), ("<div id=widget><div class=menu><main>", "</main></div></div>")]),
+    (f"<div class='search'><div class='sidebar'><p>{PROSE}</p></div><article><p>Yes.</p></article></div>", "Yes."),
+    (f"<article><p>Yes.</p></article><section id='comments'><article><p>{PROSE}</p></article></section>", "Yes."),
+    *((f"<article><p>Before.</p><{x}><p>{PROSE}</p></article>", f"Before.\n\n{PROSE}")
+      for x in ("svg", "math", "object", "canvas", "select", "noscript", "template")),
+    (f"<article><p>Before.</p><script><p>{PROSE}</p></article>", "Before."),
+    (f"<article><p>Before.</p><svg><text>{PROSE}</text></svg><p>After.</p></article>", "Before.\n\nAfter."),
+])
+def test_wrappers_and_elements_without_end(html, want):
+    assert extract.main_text(TREE, html) == want
+
+
+def test_many_elements_without_end_take_linear_time():
+    assert extract.main_text(TREE, "<article>" + "<svg><p>a b c d</p>" * 20_000).count("\n\n") == 19_999
+    assert extract.main_text(TREE, "<div class=menu>" * 20_000 + "<article><p>Yes.") == "Yes."
