@@ -1,4 +1,4 @@
-"""Exact top-k search: BM25 over sharded inverted indexes with block-max WAND pruning, merged exactly.
+"""Exact top-k search: BM25 over sharded inverted indexes with blocks scored in order of their bounds, merged exactly.
 
 Words are those of the decontamination (A-Z in lower case, cut at ASCII characters that are no letters or digits),
 known by a 64-bit hash. Tasks write shards of about ``SHARD_WORDS`` words: postings by word, documents of a shard by
@@ -9,12 +9,13 @@ A search reads a shard with blocks of ``BLOCK`` documents. The largest weight of
 block's scores; the query's bounds are summed per block, and blocks are scored in order of their bounds, a few at
 first and then more, until no bound reaches the k-th score. Weights of words that stand in one of ``COMMON``
 documents are laid out densely, block by block; all others are postings. That score is kept from shard to shard of a task.
-The k best of every task are merged by score, then by smaller doc_id.
+The k best of every task are merged by score, then by smaller doc_id. This takes the place of WAND's cursors and pivots:
+it prunes by the same bounds, but whole blocks, in few steps over arrays.
 
 Queries go through the shards in blocks of about ``QUERY_PAIRS`` (query, word) pairs, which are broadcast.
 
 Defined cases: null and empty texts are found by nothing and find nothing; a null doc_id can be found and ranks after
-equal scores with an id; a repeated row is a document of its own; fewer than k documents with a common word give
+equal scores with an id; of several queries with one id the smallest text is asked; a repeated row is a document of its own; fewer than k documents with a common word give
 fewer rows; empty tables give no rows. Extra columns do not matter.
 """
 
@@ -214,7 +215,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     schema = "query_id long, doc_id long, score double"
     if not total.docs:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    asked = store(weighted_queries(queries.where("query_id IS NOT NULL").dropDuplicates(["query_id"]), shards, total.docs),
+    asked = store(weighted_queries(queries.where("query_id IS NOT NULL").groupBy("query_id").agg(F.min("text").alias("text")), shards, total.docs),
                   "search-queries")
     n_pairs = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
     n_blocks = -(-n_pairs // QUERY_PAIRS)

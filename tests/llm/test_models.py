@@ -183,3 +183,11 @@ def test_word_index_equals_all_cosines():
         order = [x for x in np.lexsort((np.arange(700), -cosines))[:15] if cosines[x] > 0]
         assert np.allclose(values, np.minimum(cosines[order], 1))
         assert set(rows) == set(order) or np.isclose(cosines[order][-1], values[-1])
+
+
+def test_of_repeated_queries_the_smallest_text_is_asked(spark):
+    docs = [(i, w) for i, w in enumerate(["alpha", "beta", "gamma", "delta"])]
+    queries = [(1, t) for t in ("gamma", "delta", None, "beta", "alpha")]
+    rows = search.search(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(queries, "query_id long, text string").coalesce(1)).collect()
+    assert [r.doc_id for r in rows] == [0]
