@@ -72,13 +72,12 @@ def als_top10_facts(spark, d):
 
 
 def dense_ids(spark, d):
-    """Smallest, largest and number of the dense ids of users and items."""
+    """Every user and item with its dense id: the place of the key in the order of keys."""
     ratings = t.ratings(spark, d)
 
     def side(name):
         ids = dense_index(ratings, name, "id")
-        return ids.agg(F.count("*").alias("keys"), F.countDistinct("id").alias("ids"), F.min("id").alias("smallest"),
-                       F.max("id").alias("largest")).withColumn("side", F.lit(name))
+        return ids.select(F.lit(name).alias("side"), F.col(name).alias("key"), "id")
 
     return side("user").unionByName(side("item"))
 
@@ -187,10 +186,9 @@ SQL = {
     "adjacency_rejects": """SELECT CASE WHEN p_partkey % 5 = 0 THEN 'part ' || p_partkey ELSE p_partkey || ' ' || p_size || ' z' END AS value,
         CASE WHEN p_partkey % 5 = 0 THEN 'no node' ELSE 'bad neighbour' END AS parse_error
         FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0""",
-    "dense_ids": f"""WITH {q.RATINGS}, sides AS (SELECT 'user' AS side, CAST("user" AS BIGINT) AS k FROM ratings
-        UNION ALL SELECT 'item', CAST(item AS BIGINT) FROM ratings)
-        SELECT side, count(DISTINCT k) AS keys, count(DISTINCT k) AS ids, CAST(0 AS INTEGER) AS smallest,
-        CAST(count(DISTINCT k) - 1 AS INTEGER) AS largest FROM sides GROUP BY side""",
+    "dense_ids": f"""WITH {q.RATINGS}, sides AS (SELECT DISTINCT 'user' AS side, CAST("user" AS BIGINT) AS "key" FROM ratings
+        UNION ALL SELECT DISTINCT 'item', CAST(item AS BIGINT) FROM ratings)
+        SELECT side, "key", row_number() OVER (PARTITION BY side ORDER BY "key") - 1 AS id FROM sides""",
     "item_avg_rating": _AVERAGES,
     "item_avg_rating_top10": f"{_AVERAGES} ORDER BY average DESC, item LIMIT 10",
     "item_similarity": f"{_PAIRS} SELECT item, round(raw, 9) AS score, pairs FROM scored WHERE raw > 0.97 AND pairs > 1",

@@ -156,9 +156,26 @@ def test_failing_run_difference(spark):
 
 def test_dense_index_is_contiguous(spark):
     df = spark.createDataFrame([(f"u{i % 500}",) for i in range(2000)], "user string")
-    got = indexing.dense_index(df, "user", "i", buckets=16).collect()
-    assert sorted(r.i for r in got) == list(range(500))
-    assert len({r.user for r in got}) == 500
+    got = {r.user: r.i for r in indexing.dense_index(df, "user", "i").collect()}
+    assert got == {u: i for i, u in enumerate(sorted({f"u{i % 500}" for i in range(2000)}))}
+    assert indexing.dense_index(df.limit(0), "user", "i").count() == 0
+    holes = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "user string")
+    assert {r.user: r.i for r in indexing.dense_index(holes, "user", "i").collect()} == {"a": 0, "b": 1}
+    assert dict(indexing.dense_index(df, "user", "i").dtypes)["i"] == "bigint"
+
+
+def test_positions_follow_the_order_over_many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("v"), (F.col("id") % 3).alias("w")).repartition(7)
+        got = indexing.ordered_positions(df, [F.col("w").desc(), "v"], "at")
+        rows = [(r.w, r.v) for r in got.orderBy("at").collect()]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows == sorted(rows, key=lambda r: (-r[0], r[1])) and len(rows) == 3000
+    # the rows are read and given their range's start by broadcast; only range sizes meet in one task
+    assert "SortMergeJoin" not in plan and plan.count("SinglePartition") == 1
 
 
 def test_top_breaks_ties(spark):
