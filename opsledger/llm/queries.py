@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, jaccard, language, lines, mixing, personal, search, toxicity, warc
+from . import decontaminate, extract, jaccard, language, lines, mixing, personal, resample, search, toxicity, warc
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_personal": personal.op10_personal,
+    "op12_resample": resample.op12_resample,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op7_jaccard": jaccard.SQL,
     "op9_mixing": mixing.SQL,
     "op10_personal": personal.SQL,
+    "op12_resample": resample.SQL,
 }
