@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from opsledger.operators.indexing import ordered_positions
 
-from .shared import pieces, small_batches, table
+from .shared import pieces, small_batches, store, table
 
 WIDTH = 1
 BUCKETS = 10_000
@@ -161,7 +161,8 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_
 
     Drawn are the highest scores among rows of at least ``least_words`` words, ``percent`` of those rows.
     """
-    weights = weighed(docs, gains(docs, target, width, buckets), width)
+    # stored: the range sort looks at its rows twice
+    weights = store(weighed(docs, gains(docs, target, width, buckets), width), "resample-weights")
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"), 256)
     h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double")
     noise = F.floor(-1000 * F.ln(-F.ln((h + 0.5) / 4294967296)))
