@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, extract, jaccard, language, lines, mixing, personal, resample, search, toxicity, warc
+from . import capfilter, decontaminate, extract, jaccard, language, lines, mixing, personal, resample, search, toxicity, warc
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_personal": personal.op10_personal,
     "op12_resample": resample.op12_resample,
+    "op13_embeddings": capfilter.op13_embeddings,
 }
 
 SQL = {
