@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import capfilter, decontaminate, extract, jaccard, language, lines, mixing, personal, resample, search, toxicity, warc
+from . import capfilter, conversations, decontaminate, extract, jaccard, language, lines, mixing, personal, resample, search, toxicity, warc
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_personal": personal.op10_personal,
+    "op11_conversations": conversations.op11_conversations,
     "op12_resample": resample.op12_resample,
     "op13_embeddings": capfilter.op13_embeddings,
 }
@@ -24,5 +25,6 @@ SQL = {
     "op7_jaccard": jaccard.SQL,
     "op9_mixing": mixing.SQL,
     "op10_personal": personal.SQL,
+    "op11_conversations": conversations.SQL,
     "op12_resample": resample.SQL,
 }
