@@ -67,14 +67,21 @@ def error_ratio_alarm(spark, d):
     return out.select("window_start", "success", "failure", "other", "ratio", "state")
 
 
+def error_alarm_seconds(spark, d):
+    """The alarm over five minutes, every second: windows and largest failure count per day and state."""
+    out = access.error_alarm(entries(spark, d), timedelta(seconds=300), timedelta(seconds=1), minimum=1)
+    return out.groupBy(F.to_date("window_start").alias("day"), "state").agg(
+        F.count("*").alias("windows"), F.max("failure").alias("most_failures"), F.sum("success").alias("successes"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         access_log_parse, access_log_rejects, access_quick_fields, top_urls_sliding, status_hourly,
-        agent_counts_per_batch, agent_counts_sql, error_ratio_alarm,
+        agent_counts_per_batch, agent_counts_sql, error_ratio_alarm, error_alarm_seconds,
     )
 }
 
-def alarm_sql(size: int, slide: int) -> str:
+def alarm_sql(size: int, slide: int, minimum: int = 100) -> str:
     return f"""WITH {q.ACCESS_LINES},
         spread AS (SELECT status, {q.window_starts('ts', size, slide)} AS w FROM entries),
         tallied AS (SELECT w, count(*) FILTER (WHERE status >= 200 AND status < 300) AS success,
@@ -83,7 +90,7 @@ def alarm_sql(size: int, slide: int) -> str:
           FROM spread GROUP BY w)
         SELECT {q.instant('w')} AS window_start, success, failure, other,
           CASE WHEN success > 0 THEN CAST(failure AS DOUBLE) / success END AS ratio,
-          CASE WHEN success + failure <= 100 THEN 'too few' WHEN success = 0 THEN 'alarm'
+          CASE WHEN success + failure <= {minimum} THEN 'too few' WHEN success = 0 THEN 'alarm'
                WHEN CAST(failure AS DOUBLE) / success > 0.5 THEN 'alarm' ELSE 'ok' END AS state
         FROM tallied"""
 
@@ -107,6 +114,8 @@ SQL = {
     "agent_counts_per_batch": f"""WITH {q.ACCESS_LINES}
         SELECT CAST(ts AS DATE) AS day, agent, count(*) AS total FROM entries GROUP BY 1, 2""",
     "error_ratio_alarm": alarm_sql(86400, 3600),
+    "error_alarm_seconds": f"""SELECT CAST(window_start AS DATE) AS day, state, count(*) AS windows, max(failure) AS most_failures,
+        CAST(sum(success) AS BIGINT) AS successes FROM ({alarm_sql(300, 1, 1)}) GROUP BY 1, 2""",
     "agent_counts_sql": f"""WITH {q.ACCESS_LINES}
         SELECT agent, count(*) AS total FROM entries GROUP BY agent""",
 }

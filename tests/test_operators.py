@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,45 @@ def test_sliding_equals_brute_force(spark, size, slide):
     assert all(r.window_end - r.window_start == timedelta(seconds=size) for r in got.collect())
 
 
+@pytest.mark.parametrize("size,slide,length", [(300, 1, 4), (7, 3, 1), (4, 7, 1), (6, 6, 1)])
+def test_signed_changes_over_many_ranges_equal_the_copies(spark, monkeypatch, size, slide, length):
+    """Short ranges, so that most windows reach over a border; null keys, null values, sums of zero, gaps."""
+    monkeypatch.setattr(windows, "RANGE_SLIDES", length)
+    rng = random.Random(size)
+    base = datetime(1969, 12, 31, 23)
+    data = [(base + timedelta(seconds=rng.choice([rng.randint(0, 900), rng.randint(4000, 4100)])), rng.choice(["x", "y", None]),
+             rng.choice([None, -3, 0, 3]), Decimal(rng.randint(-5, 5)) / 4) for _ in range(150)]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, k string, v int, d decimal(9,2)")
+    span = timedelta(seconds=size), timedelta(seconds=slide)
+    for keys in (["k"], []):
+        measures = {"n": F.count("*"), "total": F.sum("v"), "exact": F.sum("d")}
+        parts = windows.buckets(df, "ts", *span, keys, measures).cache()
+        got = windows.spread(parts, *span, keys, measures)
+        want = windows._fanned(parts, *span, keys, measures)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        parts.unpersist()
+
+
+def test_a_bucket_sends_two_rows_however_many_windows_hold_it(spark):
+    df = spark.range(50).select(F.timestamp_seconds(F.col("id") * 1000).cast("timestamp_ntz").alias("ts"))
+    size, slide = timedelta(seconds=300), timedelta(seconds=1)
+    parts = windows.buckets(df, "ts", size, slide, [], {"n": F.count("*")})
+    assert parts.count() == 50 and windows.changes(parts, size, slide, [], ["n"]).count() == 100
+    out = windows.spread(parts, size, slide, [], {"n": F.count("*")})
+    assert out.count() == 50 * 300 and out.agg(F.min("n")).first()[0] == 1     # windows that fell to 0 do not appear
+    # windows are listed after the last shuffle only
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("sequence(") == 1 and plan.index("sequence(") < plan.index("Exchange")
+
+
+def test_doubles_are_merged_not_taken_back(spark):
+    base = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(base, 1e16), (base + timedelta(seconds=1), 1.0)], "ts timestamp_ntz, v double")
+    got = windows.sliding(df, "ts", timedelta(seconds=2), timedelta(seconds=1), [], {"v": F.sum("v")})
+    assert {r.window_start: r.v for r in got.collect()}[base + timedelta(seconds=1)] == 1.0
+
+
 def test_alarm_states(spark):
     counts = spark.createDataFrame(
         [("few", 40, 60), ("half", 100, 50), ("over", 100, 51), ("none", 0, 101), ("zero", 0, 0)],
