@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,11 +57,18 @@ def degree_sums(lines: DataFrame) -> DataFrame:
     return ranking.numeric_sums(line_degrees(lines), "degree")
 
 
+LEVEL = "node bigint, hits bigint, distance int"
+# a bucket holds so many bytes of stored edges, until there are as many buckets as a table should have
+BUCKET_BYTES = 4 << 20
+MOST_BUCKETS = 50_000
+
+
 @dataclass(frozen=True)
 class Separation:
-    """A finished search: where its levels are stored and how it ended.
+    """A finished search: where its result is stored and how it ended.
 
-    ``exhausted`` means that the last frontier had no new neighbours, so ``levels`` holds every reachable node.
+    ``exhausted`` means that a frontier had no new neighbours: without a target ``levels`` then holds every reachable
+    node, with one the target cannot be reached.
     """
 
     folder: str
@@ -72,90 +77,137 @@ class Separation:
     exhausted: bool
 
     def levels(self, spark: SparkSession) -> DataFrame:
-        """``node, distance`` of every node reached."""
-        return spark.read.schema("node bigint, hits bigint, distance int").parquet(
-            f"{self.folder}/levels"
-        ).select("node", "distance")
+        """``node, distance`` of every node reached from the start; with a target only those its side came to."""
+        return spark.read.schema(LEVEL).parquet(f"{self.folder}/reached").select("node", "distance")
 
     def target(self, spark: SparkSession, target: int) -> DataFrame:
-        """Distance of the target and the number of frontier edges that reached it; empty if unreached."""
-        rows = spark.read.schema("node bigint, hits bigint, distance int").parquet(f"{self.folder}/levels")
-        return rows.where(F.col("node") == target).select("node", "distance", "hits")
+        """Distance of the target and the number of edges that reach it from the level before; empty if unreached."""
+        return spark.read.schema(LEVEL).parquet(f"{self.folder}/target").where(F.col("node") == target) \
+            .select("node", "distance", "hits")
 
 
 def separation(edge_table: DataFrame, start: int, target: int | None = None,
                max_rounds: int | None = None) -> Separation:
-    """Level-by-level breadth-first search until the target is found or no new node is reached.
+    """Breadth-first search from the start, level by level, until no new node is reached; or between start and target.
 
-    ``max_rounds`` ends it earlier on request; ``exhausted`` of the result tells whether it did.
+    With a target the search runs from both ends, always over the smaller frontier, until a new level meets a node of
+    the other side. Distances then add up, and the hits of the target are counted along shortest paths only.
+    ``max_rounds`` ends the search earlier on request; ``exhausted`` of the result tells whether it did.
 
-    Edges and every level are tables in the shared folder, so a round reads files instead of a
-    growing lineage and lost executors repeat one round at most.
+    Edges and levels are tables in the shared folder, so a round reads files instead of a growing lineage and lost
+    executors repeat one round at most.
     """
     spark = edge_table.sparkSession
     folder = new_run_dir(spark, "separation")
-    with _stored_edges(edge_table, folder) as follow:
-        return _search(spark, folder, follow, start, target, max_rounds)
-
-
-@contextmanager
-def _stored_edges(edge_table: DataFrame, folder: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Stores the edges for repeated joins and yields ``frontier(src) -> edges leaving it``.
-
-    Edges are bucketed by source: however large the frontier, only it is shuffled. Edges of very well
-    connected nodes would overfill a bucket; they are stored apart and meet a broadcast of the
-    frontier's hot nodes, of which there are fewer than shuffle partitions.
-    """
-    spark = edge_table.sparkSession
-    edge_table.write.parquet(f"{folder}/edges")
-    stored = spark.read.parquet(f"{folder}/edges")
-    joins.hot_keys(stored, "src").write.parquet(f"{folder}/hot")
-    hot = F.broadcast(spark.read.parquet(f"{folder}/hot"))
-    skewed = not hot.isEmpty()
-
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = "edges_" + folder.rsplit("-", 1)[-1]
-    cold = stored.join(hot, "src", "left_anti") if skewed else stored
-    cold.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/cold").saveAsTable(table)
-    if skewed:
-        stored.join(hot, "src", "left_semi").write.parquet(f"{folder}/hot_edges")
-
-    def follow(frontier: DataFrame) -> DataFrame:
-        out = spark.table(table).join(frontier, "src")
-        if skewed:
-            few = F.broadcast(frontier.join(hot, "src", "left_semi"))
-            out = out.unionByName(spark.read.parquet(f"{folder}/hot_edges").join(few, "src"))
-        return out
-
+    stored = f"{folder}/edges"
+    edge_table.select("src", "dst", "n").write.parquet(stored)
+    buckets = min(MOST_BUCKETS, max(1, -(-stored_bytes(spark, stored) // BUCKET_BYTES)))
+    sides = []
     try:
-        yield follow
+        sides.append(Side(spark, f"{folder}/forward", spark.read.parquet(stored), buckets, start))
+        if target is None:
+            rounds = 0
+            while sides[0].size and (max_rounds is None or rounds < max_rounds):
+                sides[0].advance()
+                rounds += 1
+            done = Separation(folder, rounds, False, not sides[0].size)
+        else:
+            turned = spark.read.parquet(stored).select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+            sides.append(Side(spark, f"{folder}/backward", turned, buckets, target))
+            done = _meet(spark, folder, *sides, start, target, max_rounds)
+        sides[0].levels().write.parquet(f"{folder}/reached")
+        return done
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")      # the name only; the files are external
-        for part in ("edges", "hot", "cold", "hot_edges"):
+        for side in sides:
+            side.close()
+        for part in ("edges", "forward", "backward"):
             remove_dir(spark, f"{folder}/{part}")
 
 
-def _search(spark: SparkSession, folder: str, follow: Callable[[DataFrame], DataFrame], start: int,
-            target: int | None, max_rounds: int | None) -> Separation:
-    schema = "node bigint, hits bigint, distance int"
-    spark.range(1).select(
-        F.lit(start).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("hits")
-    ).write.parquet(f"{folder}/levels/distance=0")
+def _meet(spark: SparkSession, folder: str, ahead: Side, back: Side, start: int, target: int,
+          max_rounds: int | None) -> Separation:
+    met = start == target
+    while not met and ahead.size and back.size and (max_rounds is None or ahead.depth + back.depth < max_rounds):
+        mover, other = (ahead, back) if (ahead.size, ahead.depth) <= (back.size, back.depth) else (back, ahead)
+        mover.advance()
+        met = not mover.level(mover.depth).join(other.level(other.depth).select("node"), "node", "left_semi").isEmpty()
+    rounds = ahead.depth + back.depth
+    if met:
+        # nodes on shortest paths, from the level where both sides met to the last one before the target
+        path = ahead.level(ahead.depth).join(back.level(back.depth).select("node"), "node", "left_semi").select("node", "hits")
+        for depth in range(back.depth - 1, -1, -1):
+            step = f"{folder}/path-{depth}"
+            path.write.parquet(step)
+            reached = ahead.follow(spark.read.schema("node bigint, hits bigint").parquet(step).select("node"))
+            path = reached.groupBy(F.col("dst").alias("node")).agg(F.sum("n").alias("hits")).join(
+                back.level(depth).select("node"), "node", "left_semi")
+        found = path.withColumn("distance", F.lit(rounds))
+    else:
+        found = spark.createDataFrame([], LEVEL)
+    found.write.parquet(f"{folder}/target")
+    for depth in range(back.depth):
+        remove_dir(spark, f"{folder}/path-{depth}")
+    return Separation(folder, rounds, met, not met and not (ahead.size and back.size))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
+class Side:
+    """One direction of a search: the edges by the node they leave, and the nodes reached so far, in equal buckets.
+
+    Buckets of a frontier meet the same buckets of the edges, and newly reached nodes meet the same buckets of the
+    visited ones: neither edges nor visited nodes are ever shuffled, only what a round reaches. Edges of very
+    well connected nodes would overfill a bucket; they are stored apart and meet a broadcast of the frontier's hot
+    nodes, of which there are fewer than shuffle partitions.
+    """
 
-    found, exhausted, rounds = target == start, False, 0
-    while not found and not exhausted and (max_rounds is None or rounds < max_rounds):
-        frontier = spark.read.schema("node bigint").parquet(f"{folder}/levels/distance={rounds}")
-        visited = spark.read.schema(schema).parquet(f"{folder}/levels").select("node")
-        rounds += 1
-        step = follow(frontier.withColumnRenamed("node", "src"))
+    def __init__(self, spark: SparkSession, folder: str, edge_table: DataFrame, buckets: int, start: int):
+        self.spark, self.folder, self.buckets = spark, folder, buckets
+        name = "".join(c if c.isalnum() else "_" for c in folder[-50:])
+        self.cold, self.reached = f"edges_{name}", f"reached_{name}"
+        self.depth, self.size = 0, 1
+        joins.hot_keys(edge_table, "src").write.parquet(f"{folder}/hot")
+        hot = F.broadcast(spark.read.parquet(f"{folder}/hot"))
+        self.skewed = not hot.isEmpty()
+        cold = edge_table.join(hot, "src", "left_anti") if self.skewed else edge_table
+        cold.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/cold").saveAsTable(self.cold)
+        if self.skewed:
+            edge_table.join(hot, "src", "left_semi").write.parquet(f"{folder}/hot_edges")
+        self._append(spark.range(1).select(F.lit(start).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("hits")), 0)
+
+    def _append(self, nodes: DataFrame, depth: int) -> None:
+        nodes.withColumn("distance", F.lit(depth)).write.mode("append").partitionBy("distance").bucketBy(
+            self.buckets, "node").option("path", f"{self.folder}/reached").saveAsTable(self.reached)
+
+    def levels(self) -> DataFrame:
+        return self.spark.table(self.reached)
+
+    def level(self, depth: int) -> DataFrame:
+        return self.levels().where(F.col("distance") == depth)
+
+    def follow(self, frontier: DataFrame) -> DataFrame:
+        """The edges that leave the frontier's nodes."""
+        nodes = frontier.select(F.col("node").alias("src"))
+        out = self.spark.table(self.cold).join(nodes.hint("shuffle_hash"), "src")
+        if self.skewed:
+            few = F.broadcast(nodes.join(F.broadcast(self.spark.read.parquet(f"{self.folder}/hot")), "src", "left_semi"))
+            out = out.unionByName(self.spark.read.parquet(f"{self.folder}/hot_edges").join(few, "src"))
+        return out
+
+    def fresh(self) -> DataFrame:
+        """``node, hits`` of the next level: summed while mapping, then dealt like the visited nodes."""
+        step = self.follow(self.level(self.depth))
         reached = step.groupBy(F.col("dst").alias("node")).agg(F.sum("n").alias("hits"))
-        level = f"{folder}/levels/distance={rounds}"
-        reached.join(visited, "node", "left_anti").write.parquet(level)
-        fresh = spark.read.schema("node bigint, hits bigint").parquet(level)
-        summary = fresh.agg(
-            F.count("*").alias("nodes"),
-            F.count_if(F.col("node") == target if target is not None else F.lit(False)).alias("hit"),
-        ).first()
-        found = summary["hit"] > 0
-        exhausted = summary["nodes"] == 0
-    return Separation(folder, rounds, found, exhausted)
+        return reached.repartition(self.buckets, "node").join(self.levels().select("node"), "node", "left_anti")
+
+    def advance(self) -> None:
+        self._append(self.fresh(), self.depth + 1)
+        self.depth += 1
+        self.size = self.level(self.depth).count()
+
+    def close(self) -> None:
+        for name in (self.cold, self.reached):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # the names only; the files are external

@@ -114,11 +114,60 @@ def test_target_hits_unreachable_and_round_limit(spark):
     chain = spark.createDataFrame([(f"{i} {i + 1}",) for i in range(15)], "value string")
     short = graph.separation(graph.edges(chain), 0, 14, max_rounds=10)
     assert not short.found and short.rounds == 10
-    assert short.levels(spark).count() == 11 and not short.exhausted
+    assert short.levels(spark).count() == 6 and not short.exhausted     # five rounds from each end
+    assert graph.separation(graph.edges(chain), 0, max_rounds=10).levels(spark).count() == 11
+    enough = graph.separation(graph.edges(chain), 0, 14, max_rounds=14)
+    assert enough.found and [tuple(r) for r in enough.target(spark, 14).collect()] == [(14, 14, 1)]
+    same = graph.separation(graph.edges(chain), 3, 3)
+    assert same.found and same.rounds == 0 and [tuple(r) for r in same.target(spark, 3).collect()] == [(3, 0, 0)]
     whole = graph.separation(graph.edges(chain), 0)
     assert whole.levels(spark).count() == 16 and whole.exhausted
 
 
+@pytest.mark.parametrize("seed,hub", [(1, False), (3, True)])
+def test_search_from_both_ends_equals_plain_search(spark, seed, hub):
+    rng = random.Random(seed)
+    pairs = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(110)]
+    if hub:      # most edges leave one node and enter another one
+        pairs += [(5, k) for k in range(100, 400)] + [(k, 6) for k in range(100, 400)] + [(0, 5), (6, 61), (5, 100)]
+    edges = graph.edges(spark.createDataFrame([(f"{a} {b}",) for a, b in pairs], "value string")).cache()
+    near = bfs(pairs, 0, len(pairs))
+    for target in (61 if hub else 1, 17, 999):
+        found = graph.separation(edges, 0, target)
+        got = [tuple(r) for r in found.target(spark, target).collect()]
+        if target in near:
+            hits = sum(b == target and near.get(a) == near[target] - 1 for a, b in pairs)
+            assert got == [(target, near[target], hits)] and found.rounds == near[target]
+        else:
+            assert got == [] and found.exhausted and not found.found
+    edges.unpersist()
+
+
+def test_rounds_shuffle_neither_edges_nor_visited_nodes(spark, monkeypatch):
+    """With buckets as many as the stored bytes ask for; broadcasts are off, as for tables of any size."""
+    monkeypatch.setattr(graph, "BUCKET_BYTES", 1 << 10)
+    seen = []
+    plain = graph.Side.advance
+
+    def advance(side):
+        seen.append((side.buckets, side.fresh()._jdf.queryExecution().executedPlan().toString()))
+        plain(side)
+
+    monkeypatch.setattr(graph.Side, "advance", advance)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.createDataFrame([(f"{i} {i * 7 % 900} {i * 11 % 900}",) for i in range(900)], "value string")
+        assert graph.separation(graph.edges(lines), 1, max_rounds=3).rounds == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for buckets, plan in seen:
+        assert buckets > 4 and plan.count("Exchange hashpartitioning") == 2      # the sums, and the new nodes
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning" in line:
+                assert "node" in line or "dst" in line
+        assert plan.count("Bucketed: true") + plan.count("SelectedBucketsCount") >= 3
+
+
 def test_degrees_over_several_lines(spark):
     lines = spark.createDataFrame([("1 2 3\t",), (" 1  4 ",), ("2 \t",), ("\t7 1 1 1",)], "value string")
     names = spark.createDataFrame([(1, "ONE"), (7, "SEVEN")], "node bigint, name string")
