@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsledger.streaming.sinks import BatchWriter
 
+PROGRESS = "batch_id bigint, input_rows bigint, late boolean"
+
 
 def event_time(df: DataFrame, column: str, delay: str | None) -> DataFrame:
     """The column as TIMESTAMP (watermarks need the zoned type), with a watermark if asked."""
@@ -31,6 +33,18 @@ def show(df: DataFrame, mode: str = "complete", every: str | None = None, rows:
     return writer.start()
 
 
-def run_to_end(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> None:
-    """Process all available data and stop; a failure of the stream is raised here."""
-    start(df, write, checkpoint, mode).awaitTermination()
+def run_to_end(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> list[dict]:
+    """Process all available data and stop; a failure of the stream is raised here.
+
+    Returns one row per batch of this run: ``batch_id``, rows read, and whether the watermark dropped rows in it.
+    """
+    query = start(df, write, checkpoint, mode)
+    query.awaitTermination()
+    return [{"batch_id": p.batchId, "input_rows": p.numInputRows,
+             "late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators) > 0} for p in query.recentProgress]
+
+
+def store_progress(spark: SparkSession, progress: list[dict], path: str) -> None:
+    """The batches of a run next to its result; Spark remembers a bounded number of batches per run."""
+    rows = [(p["batch_id"], p["input_rows"], p["late"]) for p in progress]
+    spark.createDataFrame(rows, PROGRESS).write.mode("append").parquet(path)
