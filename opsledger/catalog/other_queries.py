@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from opsledger.catalog import sql as q
 from opsledger.functions import predicates as p
@@ -16,6 +16,7 @@ from opsledger.testbed import tables as t
 
 TARGET_ITEM = 1
 ONE_USER = 1
+RESIDUAL = 1e-3
 START_NODE = -1            # the order with key 0
 TARGET_NODE = -101         # the order with key 100
 
@@ -56,14 +57,18 @@ def json_reviews(spark, d):
     return rows.groupBy("item").agg(F.count("*").alias("reviews"), F.sum("rating").alias("stars"))
 
 
-def als_top10(spark, d):
+def _fitted(spark, d):
     indexed, users, items = recommend.with_indexes(t.ratings(spark, d))
-    model = recommend.fit_als(indexed)
+    return recommend.fit_als(indexed), indexed, users, items
+
+
+def als_top10(spark, d):
+    model, _, users, items = _fitted(spark, d)
     return recommend.recommend(model, users, items, t.item_names(spark, d), ONE_USER)
 
 
 def als_top10_facts(spark, d):
-    """What can be checked of the model's list without the model: its size, and that items are known and distinct."""
+    """Size of the model's list, and that its items are known and distinct."""
     best = als_top10(spark, d)
     names = t.item_names(spark, d).withColumnRenamed("name", "known")
     return best.join(names, "item", "left").agg(
@@ -71,6 +76,31 @@ def als_top10_facts(spark, d):
         F.count_if(F.col("name") == F.col("known")).alias("named"), F.count("predicted").alias("predicted"))
 
 
+def als_residuals(spark, d):
+    """Every user with the number of ratings and whether the fitted factors solve the user's least squares."""
+    model, indexed, users, _ = _fitted(spark, d)
+    found = recommend.residuals(model, indexed).join(users, "user_index")
+    return found.select("user", "ratings", (F.col("residual") < RESIDUAL).alias("solved"))
+
+
+def als_order(spark, d):
+    """The model's list for one user against the factor products of all items.
+
+    Per place: the rating is the product, it is not above the one before, and as many items have a larger product as places come before.
+    """
+    model, _, users, items = _fitted(spark, d)
+    best = recommend.recommend(model, users, items, t.item_names(spark, d), ONE_USER)
+    scored = recommend.products(model, users, items, ONE_USER)
+    listed = best.join(scored, "item").withColumn("place", F.row_number().over(Window.orderBy(F.col("predicted").desc(), "item")))
+    # ten products reach the driver; the items are counted against all of them in one pass
+    larger = scored.agg(*[F.count_if(F.col("product") > r.product + 1e-4).alias(str(r.place)) for r in listed.collect()])
+    above = larger.unpivot([], larger.columns, "place", "above").select(F.col("place").cast("int"), "above")
+    before = F.lag("predicted").over(Window.orderBy("place"))
+    return listed.join(above, "place").select(
+        "place", (F.abs(F.col("predicted") - F.col("product")) < 1e-4).alias("is_product"),
+        F.coalesce(F.col("predicted") <= before, F.lit(True)).alias("in_order"), (F.col("above") < F.col("place")).alias("none_missed"))
+
+
 def dense_ids(spark, d):
     """Every user and item with its dense id: the place of the key in the order of keys."""
     ratings = t.ratings(spark, d)
@@ -153,7 +183,7 @@ def word_count_bottom30(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         item_avg_rating, item_avg_rating_top10, item_similarity, item_similarity_all, item_similarity_top10,
-        user_ratings_named, json_reviews, als_top10, als_top10_facts, dense_ids, adjacency_rejects, graph_edges, node_degrees, degree_top10, degree_top10_any,
+        user_ratings_named, json_reviews, als_top10, als_top10_facts, als_residuals, als_order, dense_ids, adjacency_rejects, graph_edges, node_degrees, degree_top10, degree_top10_any,
         degree_histogram_sums, bfs_levels, bfs_degrees, word_count_keep, word_count_drop, word_count_bottom30,
     )
 }
@@ -183,6 +213,10 @@ _REACH = f"""WITH RECURSIVE {q.GRAPH},
 SQL = {
     "als_top10_facts": """SELECT CAST(10 AS BIGINT) AS items, CAST(10 AS BIGINT) AS distinct_items,
         CAST(10 AS BIGINT) AS named, CAST(10 AS BIGINT) AS predicted FROM part HAVING count(*) >= 10""",
+    "als_residuals": f"""WITH {q.RATINGS} SELECT CAST("user" AS BIGINT) AS "user", count(*) AS ratings, true AS solved
+        FROM ratings GROUP BY "user\"""",
+    "als_order": """SELECT CAST(place AS INTEGER) AS place, true AS is_product, true AS in_order, true AS none_missed
+        FROM range(1, 1 + least(10, (SELECT count(DISTINCT l_partkey) FROM lineitem))) r(place)""",
     "adjacency_rejects": """SELECT CASE WHEN p_partkey % 5 = 0 THEN 'part ' || p_partkey ELSE p_partkey || ' ' || p_size || ' z' END AS value,
         CASE WHEN p_partkey % 5 = 0 THEN 'no node' ELSE 'bad neighbour' END AS parse_error
         FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from opsledger.catalog import sql as q
-from opsledger.plans import returns as r
+from opsledger.plans import patterns, returns as r
 from opsledger.session import new_run_dir
 from opsledger.sources import files, sinks
 from opsledger.testbed import tables as t
@@ -113,12 +113,22 @@ def report_text_parts(spark, d):
     return files.read_lines(spark, path).withColumnRenamed("value", "line")
 
 
+def pattern_table_counts(spark, d):
+    """Lines per pattern of a table of patterns: one per part, found in the case lines through their rarest words."""
+    exported = t.return_lines(spark, d)
+    lines = exported.select(F.concat("case_text", F.lit(" ref "), "internal_id").alias("value"))
+    part = files.read_table(spark, d, "part")
+    wanted = F.array(F.concat(F.lit(" - "), "p_name", F.lit(",")), F.lit("ref "), F.concat(F.lit("-"), "p_partkey", F.lit("-")))
+    table = patterns.PatternTable(part.select(F.col("p_partkey").alias("pattern_id"), wanted.alias("fragments")), lines)
+    return table.counts(lines)
+
+
 QUERIES = {
     f.__name__: f for f in (
         returns_kpis, returns_kpis_unbounded, returns_documents, returns_reason_totals, returns_pending_reasons,
         returns_reason_customer, returns_customer_totals, returns_pending_before, returns_gen1, returns_gen2,
         returns_pending_by_type, returns_spec_breakdown, csv_header_clean, report_text_single_file,
-        report_text_parts,
+        report_text_parts, pattern_table_counts,
     )
 }
 
@@ -162,6 +172,12 @@ _CUSTOMER_LINES = f"""WITH {q.RETURNS}
     SELECT customer, abs(sum(quantity)) AS quantity FROM documents_kept WHERE {_LATE} GROUP BY customer"""
 
 SQL = {
+    "pattern_table_counts": r"""WITH texts AS (SELECT p_name, 'CASE' || lpad(CAST(l_orderkey % 1000000 AS VARCHAR), 6, '0') || ' - ' || p_name || ', '
+          || o_orderpriority || ' ref ' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS value
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
+        SELECT p_partkey AS pattern_id, count(*) AS occurrences FROM texts JOIN part ON part.p_name = texts.p_name
+          AND contains(value, '-' || p_partkey || '-') AND value LIKE '% - ' || part.p_name || ',%ref %-' || p_partkey || '-%'
+        GROUP BY p_partkey""",
     "returns_kpis": _kpi_sql(_LATE),
     "returns_kpis_unbounded": _kpi_sql("true"),
     "returns_documents": f"WITH {q.RETURNS} SELECT document_number, internal_id, category, quantity FROM documents_kept",

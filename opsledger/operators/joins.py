@@ -31,14 +31,22 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# most items that the sketch of frequent keys can follow
+SKETCH_ITEMS = 1_000_000
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys holding more than an even share of a shuffle partition; there are fewer of them than partitions.
 
-    Found with a mergeable sketch over the key alone, as large as the number of partitions asks for. The list only
-    decides how rows travel, never which rows are kept.
+    Found with a mergeable sketch over the key alone, as large as the number of partitions asks for, or
+    exactly in two passes where the sketch would need more than it can hold. The list only decides how rows travel,
+    never which rows are kept.
     """
     parts = _partitions(df)
-    sketch = df.select(key).where(F.col(key).isNotNull()).agg(
+    keys = df.select(key).where(F.col(key).isNotNull())
+    if 40 * parts > SKETCH_ITEMS:
+        return _hot_keys_by_range(keys, key, parts)
+    sketch = keys.agg(
         F.expr(f"approx_top_k(`{key}`, {parts}, {max(10_000, 40 * parts)})").alias("top"),
         F.count("*").alias("total"),
     )
@@ -49,6 +57,16 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _hot_keys_by_range(keys: DataFrame, key: str, parts: int) -> DataFrame:
+    """Hash ranges that hold more than a partition's share are the only ones with hot keys; keys are counted in them."""
+    ranged = keys.withColumn("_range", F.pmod(F.xxhash64(key), F.lit(4 * parts)))
+    sizes = checkpointed(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
+    total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    heavy = sizes.where(F.col("_rows") * parts > total).select("_range")
+    inside = ranged.join(F.broadcast(heavy) if is_small(heavy) else heavy, "_range", "left_semi")
+    return inside.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") * parts > total).select(key)
+
+
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on one key where a few fact keys may be very hot and ``dim`` has few rows per key.
 

@@ -63,6 +63,23 @@ def test_all_keys_above_an_even_share_are_found(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@pytest.mark.parametrize("parts", [30_000, 1_000_000])
+def test_hot_keys_where_partitions_outnumber_the_sketch(spark, parts):
+    """Keys of 10 rows and single ones; a partition's share is far below one row, or 1.7 rows."""
+    n = 50_000 if parts == 30_000 else 100
+    df = spark.range(n).select(F.when(F.col("id") < 500, F.col("id") % 50).otherwise(F.col("id")).alias("key")).unionByName(
+        spark.createDataFrame([(None,)] * 5, "key bigint"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    joins_at = joins._partitions
+    joins._partitions = lambda _: parts      # the session keeps its own number, so that the test need not run so many tasks
+    try:
+        got = {r.key for r in joins.hot_keys(df, "key").collect()}
+    finally:
+        joins._partitions = joins_at
+    assert spark.conf.get("spark.sql.shuffle.partitions") == old
+    assert got == set(range(50))
+
+
 def test_wide_rows_are_not_small(spark):
     wide = spark.range(50).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 100_000).alias("text"))
     assert not joins.is_small(wide, max_bytes=1 << 20) and joins.is_small(wide)

@@ -1,6 +1,6 @@
 import math
 import random
-from collections import defaultdict, deque
+from collections import Counter, defaultdict, deque
 
 import numpy as np
 import pytest
@@ -72,6 +72,35 @@ def test_als_recommendations_are_the_largest_factor_products(spark):
     assert all(r.name == "name " + r.item[1:] and abs(r.predicted - scores[r.item]) < 1e-4 for r in got)
 
 
+def test_residuals_tell_a_fitted_model_from_a_spoiled_one(spark):
+    rng = random.Random(5)
+    data = [(f"u{u}", f"i{i}", float(rng.randint(1, 5))) for u in range(30) for i in range(12) if rng.random() < 0.6]
+    data += [("hot", f"i{k % 12}", float(k % 5 + 1)) for k in range(3000)]      # one user has most ratings
+    indexed, users, items = recommend.with_indexes(spark.createDataFrame(data, RATINGS))
+    model = recommend.fit_als(indexed, rank=3, maxIter=3)
+    found = {r.user: (r.ratings, r.residual) for r in recommend.residuals(model, indexed).join(users, "user_index").collect()}
+    assert {u: n for u, (n, _) in found.items()} == Counter(u for u, _, _ in data)
+    assert all(r < 1e-3 for _, r in found.values())
+    # by hand for the hot user, with its factors moved a little
+    factors = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    of = {r.item: r.item_index for r in items.collect()}
+    own = users.where("user = 'hot'").first().user_index
+    x = np.array(model.userFactors.where(F.col("id") == own).first().features) * 1.1
+    mine = [(factors[of[i]], r) for u, i, r in data if u == "hot"]
+    left = sum((y @ x - r) * y for y, r in mine) + 0.01 * len(mine) * x
+    want = np.linalg.norm(left) / np.linalg.norm(sum(r * y for y, r in mine))
+
+    class Spoiled:
+        rank, itemFactors = 3, model.itemFactors
+        userFactors = model.userFactors.withColumn("features", F.transform("features", lambda v: v.cast("double") * 1.1))
+
+    spoiled = {r.user_index: r.residual for r in recommend.residuals(Spoiled, indexed).collect()}
+    assert abs(spoiled[own] - want) < 1e-6 and want > 1e-3
+    scores = {r.item: r.product for r in recommend.products(model, users, items, "u3").collect()}
+    u3 = np.array(model.userFactors.where(F.col("id") == users.where("user = 'u3'").first().user_index).first().features)
+    assert scores.keys() == of.keys() and all(abs(s - float(u3 @ factors[of[i]])) < 1e-5 for i, s in scores.items())
+
+
 def bfs(pairs, start, limit):
     neighbours = defaultdict(list)
     for a, b in pairs:
