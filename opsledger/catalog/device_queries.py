@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsledger.catalog import sql as q
 from opsledger.functions import cleaning, device_log as dl
+from opsledger.operators import balance
 from opsledger.plans import alerts as alert_plans, device_logs as logs
 from opsledger.session import new_run_dir
 from opsledger.sources import dimensions, files
@@ -110,6 +111,46 @@ def alert_rejects(spark, d):
     return alert_plans.rejected(records_).select("key", "parse_error")
 
 
+def sentence_rejects(spark, d):
+    """Bracketed lines of one parse: the rejected ones and the balance of the same job."""
+    return balance.split(t.sentence_lines(read_table(spark, d, "events")), logs.parse_sentences).report("key")
+
+
+def run_message_rejects(spark, d):
+    """Lines of both runs without a message, and the balance of the job that found the others."""
+    return balance.split(records(spark, d), lambda lines: logs.parse_run(lines, t.YEAR)).report("key")
+
+
+def lookup_rejects(spark, d):
+    """Codes, alerts and names read from text files that grow with the tables, each with its rejected lines and balance."""
+    found = None
+    for name, lines, parse in (
+        ("codes", t.part_code_lines(read_table(spark, d, "part")), dimensions.parse_codes),
+        ("alerts", t.supplier_alert_lines(read_table(spark, d, "supplier")), dimensions.parse_alerts),
+        ("names", t.customer_name_lines(read_table(spark, d, "customer")), dimensions.parse_names),
+    ):
+        folder = new_run_dir(spark, f"{name}-lines")
+        lines.write.text(folder)
+        report = balance.split(files.read_ordered_lines(spark, folder), parse).report().withColumn("lookup", F.lit(name))
+        found = report if found is None else found.unionByName(report)
+    return found
+
+
+def lookup_tables(spark, d):
+    """The same files as lookup tables: rows per lookup, and of alerts the wordings."""
+    def read(lines, name):
+        folder = new_run_dir(spark, f"{name}-table")
+        lines.write.text(folder)
+        return files.read_ordered_lines(spark, folder)
+
+    codes_ = dimensions.error_codes(read(t.part_code_lines(read_table(spark, d, "part")), "codes"))
+    alerts_ = dimensions.alerts(read(t.supplier_alert_lines(read_table(spark, d, "supplier")), "alerts"))
+    names_ = dimensions.quoted_names(read(t.customer_name_lines(read_table(spark, d, "customer")), "names"))
+    return codes_.select(F.lit("codes").alias("lookup"), F.col("message").alias("key"), F.col("code").cast("string").alias("found")) \
+        .unionByName(alerts_.select(F.lit("alerts").alias("lookup"), F.col("error").alias("key"), F.col("message").alias("found"))) \
+        .unionByName(names_.select(F.lit("names").alias("lookup"), F.col("node").cast("string").alias("key"), F.col("name").alias("found")))
+
+
 def severity_range_counts(spark, d):
     coded = logs.with_codes(messages(spark, d), codes(spark))
     return logs.severity_counts(coded, *RANGE)
@@ -187,7 +228,8 @@ def alert_totals(spark, d):
 QUERIES = {
     f.__name__: f for f in (
         device_log_parse, device_log_rejects, device_log_forms, message_normalize, error_code_lookup,
-        device_enrich, device_lookup_files, device_line_rejects, alert_rejects, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
+        device_enrich, device_lookup_files, device_line_rejects, alert_rejects,
+        sentence_rejects, run_message_rejects, lookup_rejects, lookup_tables, severity_range_counts, failing_not_in_passing, log_line_counts, log_search_fragments,
         log_word_filter, thin_one_per_second, pattern_table_counts, errors_sliding, avg_error_length_by_topic,
         avg_by_topic_sliding, message_counts_tumbling, device_windows_enriched, sentence_windows, alert_totals,
     )
@@ -218,7 +260,45 @@ alert_rows AS (
          ELSE 'Inspect ' || n_name || ', then retry' END AS message
   FROM per_code LEFT JOIN nation ON n_nationkey = k)"""
 
+_CODE_LINES = """code_lines AS (SELECT CASE WHEN p_partkey % 5 = 0 THEN p_name || ', none'
+    ELSE p_name || ' error ' || p_brand || ', ' || (100000 + p_partkey) || ', lab' END AS value, p_partkey AS k FROM part)"""
+_ALERT_LINES = """alert_lines AS (SELECT CASE WHEN s_suppkey % 4 = 0 THEN CAST(s_suppkey AS VARCHAR)
+    ELSE s_suppkey || ',0x0100' || s_suppkey || ',FAMILY,' || s_name || ',watch.cpp,Error,TRUE,'
+      || CASE WHEN s_suppkey % 9 = 1 THEN 'MAYBE' ELSE 'TRUE' END || ',TRUE,stops,"Check it, please",FALSE,'
+      || CASE WHEN s_suppkey % 5 = 1 THEN '' ELSE '"Inspect ' || s_name || ', then retry"' END END AS value, s_suppkey AS k FROM supplier)"""
+_NAME_LINES = """name_lines AS (SELECT CASE WHEN c_custkey % 6 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 7 = 0 THEN 'x' || c_custkey || ' "' || c_name || '"'
+    ELSE c_custkey || ' "' || c_name || '"' END AS value, c_custkey AS k FROM customer)"""
+
+
+def _report(lookup: str, table: str, bad: str, reason: str) -> str:
+    counts = {"input": "true", "accepted": f"NOT ({bad})", "rejected": bad}
+    parts = [f"SELECT '{lookup}' AS lookup, 'line' AS kind, value, {reason} AS reason, CAST(1 AS BIGINT) AS rows FROM {table} WHERE {bad}"]
+    parts += [f"SELECT '{lookup}', '{kind}', NULL, NULL, count(*) FILTER (WHERE {test}) FROM {table}" for kind, test in counts.items()]
+    return " UNION ALL ".join(parts)
+
+
+def _keyed_report(table: str, bad: str, reason: str) -> str:
+    counts = {"input": "true", "accepted": f"NOT ({bad})", "rejected": bad}
+    parts = [f"""SELECT 'line' AS kind, "key", value, {reason} AS reason, CAST(1 AS BIGINT) AS rows FROM {table} WHERE {bad}"""]
+    parts += [f"SELECT '{kind}', NULL, NULL, NULL, count(*) FILTER (WHERE {test}) FROM {table}" for kind, test in counts.items()]
+    return " UNION ALL ".join(parts)
+
+
 SQL = {
+    "sentence_rejects": f"""WITH ev AS (SELECT event_id, ts, event_type, CAST(floor(value) AS BIGINT) AS v FROM events),
+        lines AS (SELECT event_id AS "key", '<' || CASE WHEN v % 11 = 3 THEN 'no-stamp' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END || '> '
+          || v || ' The ' || event_type || ' took ' || chr(CAST(97 + v % 26 AS INTEGER)) || '.' AS value, v FROM ev)
+        {_keyed_report('lines', 'v % 11 = 3', "'bad line'")}""",
+    "run_message_rejects": f"""WITH {q.DEVICE_PARSED} {_keyed_report('parsed', 'raw IS NULL', "'no message'")}""",
+    "lookup_rejects": f"""WITH {_CODE_LINES}, {_ALERT_LINES}, {_NAME_LINES}
+        {_report('codes', 'code_lines', 'k % 5 = 0', "'no code'")}
+        UNION ALL {_report('alerts', 'alert_lines', 'k % 4 = 0', "'no code'")}
+        UNION ALL {_report('names', 'name_lines', 'k % 6 = 0 OR k % 7 = 0', "CASE WHEN k % 6 = 0 THEN 'no name' ELSE 'no id' END")}""",
+    "lookup_tables": r"""WITH named AS (SELECT trim(regexp_replace(p_name || ' error ' || p_brand, '\d', '', 'g')) AS message, p_partkey FROM part WHERE p_partkey % 5 <> 0)
+        SELECT 'codes' AS lookup, message AS key, CAST(100000 + max(p_partkey) AS VARCHAR) AS found FROM named GROUP BY message
+        UNION ALL SELECT 'alerts', '0x0100' || s_suppkey, CASE WHEN s_suppkey % 9 = 1 THEN 'Did Not match Regex' WHEN s_suppkey % 5 = 1 THEN 'No Eng Message'
+          ELSE 'Inspect ' || s_name || ', then retry' END FROM supplier WHERE s_suppkey % 4 <> 0
+        UNION ALL SELECT 'names', CAST(c_custkey AS VARCHAR), c_name FROM customer WHERE c_custkey % 6 <> 0 AND c_custkey % 7 <> 0""",
     "device_log_parse": f'WITH {q.DEVICE_PARSED} SELECT "key", topic, ts, message, char_count FROM good',
     "device_log_rejects": f"""WITH {q.DEVICE_PARSED}
         SELECT "key", value, CASE WHEN ts IS NULL THEN 'no timestamp' ELSE 'no message' END AS parse_error

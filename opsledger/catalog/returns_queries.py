@@ -113,7 +113,7 @@ def report_text_parts(spark, d):
     return files.read_lines(spark, path).withColumnRenamed("value", "line")
 
 
-def pattern_table_counts(spark, d):
+def pattern_counts_by_part(spark, d):
     """Lines per pattern of a table of patterns: one per part, found in the case lines through their rarest words."""
     exported = t.return_lines(spark, d)
     lines = exported.select(F.concat("case_text", F.lit(" ref "), "internal_id").alias("value"))
@@ -128,7 +128,7 @@ QUERIES = {
         returns_kpis, returns_kpis_unbounded, returns_documents, returns_reason_totals, returns_pending_reasons,
         returns_reason_customer, returns_customer_totals, returns_pending_before, returns_gen1, returns_gen2,
         returns_pending_by_type, returns_spec_breakdown, csv_header_clean, report_text_single_file,
-        report_text_parts, pattern_table_counts,
+        report_text_parts, pattern_counts_by_part,
     )
 }
 
@@ -172,7 +172,7 @@ _CUSTOMER_LINES = f"""WITH {q.RETURNS}
     SELECT customer, abs(sum(quantity)) AS quantity FROM documents_kept WHERE {_LATE} GROUP BY customer"""
 
 SQL = {
-    "pattern_table_counts": r"""WITH texts AS (SELECT p_name, 'CASE' || lpad(CAST(l_orderkey % 1000000 AS VARCHAR), 6, '0') || ' - ' || p_name || ', '
+    "pattern_counts_by_part": r"""WITH texts AS (SELECT p_name, 'CASE' || lpad(CAST(l_orderkey % 1000000 AS VARCHAR), 6, '0') || ' - ' || p_name || ', '
           || o_orderpriority || ' ref ' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS value
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
         SELECT p_partkey AS pattern_id, count(*) AS occurrences FROM texts JOIN part ON part.p_name = texts.p_name

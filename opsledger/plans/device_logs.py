@@ -61,12 +61,18 @@ def severity_counts(messages: DataFrame, start: datetime, end: datetime, min_cod
     )
 
 
-def run_messages(records: DataFrame, year: int, drop_ids: bool = True, failures_only: bool = True) -> DataFrame:
-    """Normalised messages of one run, failure-like ones only unless told otherwise."""
+def parse_run(records: DataFrame, year: int, drop_ids: bool = True) -> DataFrame:
+    """Lines of one run with ``ts`` and the normalised ``message``; lines without one carry ``parse_error``."""
     parsed = with_computed(records, {
         "ts": dl.event_time(F.col("value"), year),
         "message": F.trim(cleaning.normalised_message(dl.message(F.col("value")), drop_ids)),
-    }).where(F.col("message").isNotNull())
+    })
+    return parsed.withColumn("parse_error", F.when(F.col("message").isNull(), "no message"))
+
+
+def run_messages(records: DataFrame, year: int, drop_ids: bool = True, failures_only: bool = True) -> DataFrame:
+    """Normalised messages of one run, failure-like ones only unless told otherwise."""
+    parsed = parse_run(records, year, drop_ids).where(F.col("parse_error").isNull()).drop("parse_error")
     return parsed.where(p.mentions_any(F.col("message"))) if failures_only else parsed
 
 
@@ -161,11 +167,17 @@ def average_length_sliding(messages: DataFrame, size: timedelta, slide: timedelt
     return sums.withColumn("average_chars", F.col("chars") / F.col("n")).drop("chars", "n")
 
 
-def coded_sentences(lines: DataFrame) -> DataFrame:
-    """``<timestamp> code sentence`` lines; others are left out."""
+def parse_sentences(lines: DataFrame) -> DataFrame:
+    """``<timestamp> code sentence`` lines as ``ts, code, text``; others carry ``parse_error``."""
     value = F.col("value")
-    return with_computed(lines, {
+    parsed = with_computed(lines, {
         "ts": dl.bracketed_time(value),
         "code": dl.bracketed_code(value),
         "text": dl.bracketed_text(value),
-    }).where(F.col("ts").isNotNull()).drop("value")
+    })
+    return parsed.withColumn("parse_error", F.when(F.col("text").isNull(), "bad line").when(F.col("ts").isNull(), "bad time"))
+
+
+def coded_sentences(lines: DataFrame) -> DataFrame:
+    """The lines that :func:`parse_sentences` accepts."""
+    return parse_sentences(lines).where(F.col("parse_error").isNull()).drop("value", "parse_error")

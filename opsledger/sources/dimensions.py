@@ -21,17 +21,23 @@ def _text_field(index: int):
     return F.trim(F.get(F.split("value", ","), F.lit(index)))
 
 
+def _accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("parse_error").isNull())
+
+
+def parse_codes(lines: DataFrame) -> DataFrame:
+    """``message, code[, ...]`` lines with both fields; lines without a number carry ``parse_error``."""
+    message, code = similar_message(_text_field(0)), _text_field(1).try_cast("int")
+    return lines.withColumn("message", message).withColumn("code", code).withColumn(
+        "parse_error", F.when(F.col("message").isNull() | F.col("code").isNull(), "no code"))
+
+
 def error_codes(lines: DataFrame, position: str = "position") -> DataFrame:
-    """``message, code[, ...]`` lines to one code per message; the last line of a message wins.
+    """One code per message; the last line of a message wins.
 
     Messages are normalised like the log messages they are matched with.
     """
-    parsed = lines.select(
-        similar_message(_text_field(0)).alias("message"),
-        _text_field(1).try_cast("int").alias("code"),
-        F.col(position).alias("position"),
-    ).where(F.col("message").isNotNull() & F.col("code").isNotNull())
-    return last_per_key(parsed, ["message"], ["position"], ["code"])
+    return last_per_key(_accepted(parse_codes(lines)), ["message"], [position], ["code"])
 
 
 def devices(lines: DataFrame, position: str = "position") -> DataFrame:
@@ -51,29 +57,34 @@ def rejected_devices(lines: DataFrame) -> DataFrame:
     return lines.where(_text_field(3).isNull()).withColumn("parse_error", F.lit("missing fields"))
 
 
-def alerts(lines: DataFrame, position: str = "position") -> DataFrame:
-    """Quoted 13-field alert lines to ``code -> message``."""
+def parse_alerts(lines: DataFrame) -> DataFrame:
+    """Quoted 13-field alert lines as ``error, message``; lines without a code carry ``parse_error``."""
     schema = ", ".join(f"{c} string" for c in ALERT_FIELDS)
     row = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
     flagged = None
     for flag in ("f1", "f2", "f3", "f4"):
-        ok = F.coalesce(F.col("row")[flag].isin("TRUE", "FALSE"), F.lit(False))
+        ok = F.coalesce(F.col("_row")[flag].isin("TRUE", "FALSE"), F.lit(False))
         flagged = ok if flagged is None else flagged & ok
-    wording = F.coalesce(F.nullif(F.trim(F.col("row")["engineer_text"]), F.lit("")), F.lit(NO_ENGINEER_TEXT))
-    parsed = lines.select(row.alias("row"), F.col(position).alias("position")).select(
-        F.lower(F.trim(F.col("row")["code"])).alias("error"),
+    wording = F.coalesce(F.nullif(F.trim(F.col("_row")["engineer_text"]), F.lit("")), F.lit(NO_ENGINEER_TEXT))
+    return lines.withColumn("_row", row).select(
+        *lines.columns, F.lower(F.trim(F.col("_row")["code"])).alias("error"),
         F.when(flagged, wording).otherwise(NO_FLAGS_TEXT).alias("message"),
-        "position",
-    ).where(F.col("error").isNotNull())
-    return last_per_key(parsed, ["error"], ["position"], ["message"])
+    ).withColumn("parse_error", F.when(F.col("error").isNull(), "no code"))
 
 
-def quoted_names(lines: DataFrame, position: str = "position") -> DataFrame:
-    """``id "NAME"`` lines to ``node, name``; lines without a quoted name are skipped."""
+def alerts(lines: DataFrame, position: str = "position") -> DataFrame:
+    """``code -> message``; the last line of a code wins."""
+    return last_per_key(_accepted(parse_alerts(lines)), ["error"], [position], ["message"])
+
+
+def parse_names(lines: DataFrame) -> DataFrame:
+    """``id "NAME"`` lines as ``node, name``; lines without a quoted name or an id carry ``parse_error``."""
     parts = F.split("value", '"')
-    parsed = lines.where(F.size(parts) > 1).select(
-        F.trim(F.get(parts, F.lit(0))).try_cast("bigint").alias("node"),
-        F.get(parts, F.lit(1)).alias("name"),
-        F.col(position).alias("position"),
-    ).where(F.col("node").isNotNull())
-    return last_per_key(parsed, ["node"], ["position"], ["name"])
+    node = F.trim(F.get(parts, F.lit(0))).try_cast("bigint")
+    problem = F.when(F.coalesce(F.size(parts), F.lit(0)) <= 1, "no name").when(node.isNull(), "no id")
+    return lines.select("*", node.alias("node"), F.get(parts, F.lit(1)).alias("name"), problem.alias("parse_error"))
+
+
+def quoted_names(lines: DataFrame, position: str = "position") -> DataFrame:
+    """One name per id; the last line of an id wins, lines without a quoted name are skipped."""
+    return last_per_key(_accepted(parse_names(lines)), ["node"], [position], ["name"])

@@ -147,6 +147,34 @@ def error_code_lines(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT value, position FROM VALUES {rows} AS lines(value, position)", values)
 
 
+def part_code_lines(part: DataFrame) -> DataFrame:
+    """Known-error lines from parts, later parts with newer codes for the same message; every fifth has no code."""
+    key = F.col("p_partkey")
+    code = F.concat("p_name", F.lit(" error "), "p_brand", F.lit(", "), _text(100000 + key), F.lit(", lab"))
+    value = F.when(key % 5 == 0, F.concat("p_name", F.lit(", none"))).otherwise(code)
+    # the last line of a message counts, so files follow the keys
+    return part.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey").select(value.alias("value"))
+
+
+def supplier_alert_lines(supplier: DataFrame) -> DataFrame:
+    """Quoted 13-field alert lines from suppliers; every fourth is cut after its number."""
+    k = F.col("s_suppkey")
+    engineer = F.when(k % 5 == 1, "").otherwise(F.concat(F.lit('"Inspect '), "s_name", F.lit(', then retry"')))
+    whole = F.concat_ws(
+        ",", _text(k), F.concat(F.lit("0x0100"), _text(k)), F.lit("FAMILY"), "s_name", F.lit("watch.cpp"), F.lit("Error"),
+        F.lit("TRUE"), F.when(k % 9 == 1, "MAYBE").otherwise("TRUE"), F.lit("TRUE"), F.lit("stops"), F.lit('"Check it, please"'),
+        F.lit("FALSE"), engineer)
+    return supplier.select(F.when(k % 4 == 0, _text(k)).otherwise(whole).alias("value"))
+
+
+def customer_name_lines(customer: DataFrame) -> DataFrame:
+    """``id "NAME"`` lines from customers, some without a name, some with a bad id."""
+    k = F.col("c_custkey")
+    quoted = F.concat(F.lit(' "'), "c_name", F.lit('"'))
+    value = F.when(k % 6 == 0, _text(k)).when(k % 7 == 0, F.concat(F.lit("x"), _text(k), quoted)).otherwise(F.concat(_text(k), quoted))
+    return customer.select(value.alias("value"))
+
+
 def _described(lines: DataFrame, spark: SparkSession, folder: str, customers: bool) -> DataFrame:
     """Line-item rows as returns records; reports without customers skip that join."""
     orders = read_table(spark, folder, "orders").select(
