@@ -13,7 +13,8 @@ Both votes are turned into a probability by a logistic curve. It is fitted to ev
 as a new text, and with its own vote among whole texts, as a copy.
 
 The classifier is fitted on at most ``MAX_EXAMPLES`` labelled rows (those with the smallest hashed ids). Their texts
-bound the words; at most ``MAX_TERMS`` terms go with the label. Indexes and model are broadcast.
+bound the words, known by 64-bit hashes; at most ``MAX_TERMS`` terms go with the label. One task fits the model from the
+sample; the driver passes its bytes on as a broadcast.
 
 Defined cases: null and empty texts, and texts without words of the examples, get the score of no votes; labels
 without a document, null labels and null ids are left out; a document with several labels counts as toxic if one says so; without
@@ -23,15 +24,18 @@ id; repeated rows are scored alike; an empty table gives no rows. Extra columns
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
 from .shared import bucket_of_id, opened, shipped, small_batches, store, table
 from .shingles import ranges
@@ -49,7 +53,8 @@ EVIDENCE = 5
 COMMON, TEXTS = 256, 64
 MARGIN = 1e-5  # larger than the rounding of single-precision cosines
 COUNT_BLOCKS = 32
-CACHE_WORDS = 300_000
+CACHE_WORDS = 50_000
+PART_BYTES = 4 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -60,31 +65,44 @@ def word_terms(word: str) -> list[str]:
 
 def text_terms(text: str | None) -> Counter:
     found: Counter = Counter()
-    for word, n in Counter(_WORD.findall((text or "").lower())).items():
+    for word, n in bag_of(text).items():
         for term in word_terms(word):
             found[term] += n
     return found
 
 
+def hashes(words: Iterable[str], n: int) -> np.ndarray:
+    return np.fromiter((xxh3_64_intdigest(w) for w in words), np.uint64, n)
+
+
 class Vectors:
     """Counts of the examples' words and of the label's terms in texts.
 
-    Words that begin like no term are passed over for the terms, others are looked up.
+    The examples' words are a sorted array of 64-bit hashes. Words that begin like no term are passed over for the
+    terms, others are looked up.
     """
 
-    def __init__(self, terms: tuple[dict[str, int], dict[str, int]]):
-        self.words, self.terms = terms
+    def __init__(self, known: tuple[np.ndarray, dict[str, int]]):
+        self.words, self.terms = known
         self.known: dict[str, list[int]] = {}
         self.heads = {t[:3] for t in self.terms}
 
-    def counts(self, text: str | None) -> tuple[dict[int, int], dict[int, int]]:
-        whole: dict[int, int] = {}
+    def whole(self, bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per bag of words the numbers of those that examples have, and their counts."""
+        if not len(self.words):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(bags)
+        found = hashes((w for bag in bags for w in bag), sum(map(len, bags)))
+        counts = np.fromiter((n for bag in bags for n in bag.values()), np.int64, len(found))
+        place = np.minimum(np.searchsorted(self.words, found), len(self.words) - 1)
+        hit = self.words[place] == found
+        ends = np.cumsum([0, *map(len, bags)])
+        return [(place[a:b][hit[a:b]], counts[a:b][hit[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def found(self, bag: Counter) -> dict[int, int]:
+        """The label's terms in a bag of words and their counts."""
         found: dict[int, int] = {}
-        words, heads = self.words, self.heads
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            i = words.get(word)
-            if i is not None:
-                whole[i] = n
+        heads = self.heads
+        for word, n in bag.items() if heads else ():
             if (word[:3] if len(word) > 2 else word + "$") not in heads:
                 continue
             ids = self.known.get(word)
@@ -94,7 +112,11 @@ class Vectors:
                 ids = self.known[word] = [self.terms[t] for t in word_terms(word) if t in self.terms]
             for i in ids:
                 found[i] = found.get(i, 0) + n
-        return whole, found
+        return found
+
+
+def bag_of(text: str | None) -> Counter:
+    return Counter(_WORD.findall((text or "").lower()))
 
 
 def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +218,7 @@ class WordIndex:
 
 @dataclass
 class Model:
-    terms: tuple[dict[str, int], dict[str, int]]  # the examples' words and the label's terms
+    terms: tuple[np.ndarray, dict[str, int]]  # hashes of the examples' words, and the label's terms
     word_idf: np.ndarray
     idf: np.ndarray
     words: WordIndex | None
@@ -211,10 +233,6 @@ class Model:
         votes = cosines ** 2 / (1.001 - cosines ** 2)
         return float((votes * self.toxic[rows]).sum() / (votes.sum() + PRIOR_VOTE))
 
-    def nearest_words(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for at in range(0, len(texts), TEXTS):
-            yield from self.words.nearest(texts[at:at + TEXTS], K)
-
     def own_word_votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Votes of the nearest for each example: without itself, and with itself."""
         out = np.zeros((2, len(texts)))
@@ -234,12 +252,20 @@ class Model:
         return float((votes * self.toxic[rows]).sum() / (votes.sum() + PRIOR_VOTE)), rows
 
     def scores(self, vectors: Vectors, texts: list[str | None]) -> list[tuple[float, list[int]]]:
-        counts = [vectors.counts(t) for t in texts]
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            out += self._scores(vectors, [bag_of(t) for t in texts[at:at + TEXTS]])
+        return out
+
+    def _scores(self, vectors: Vectors, bags: list[Counter]) -> list[tuple[float, list[int]]]:
         none = np.zeros(0, np.int64)
-        whole = self.nearest_words([weigh(c, self.word_idf) for c, _ in counts]) if self.words else [(none, none)] * len(texts)
+        whole = [(none, none)] * len(bags)
+        if self.words:
+            whole = self.words.nearest([weigh_arrays(*v, self.word_idf) for v in vectors.whole(bags)], K)
         out = []
-        for (rows, cosines), (_, found) in zip(whole, counts, strict=True):
+        for (rows, cosines), bag in zip(whole, bags, strict=True):
             by_words = self.word_vote(rows, cosines)
+            found = vectors.found(bag)
             by_terms, closer = self.vote(*weigh(found, self.idf)) if found else (0.0, [])
             rows = closer if len(closer) else rows
             p = 1 / (1 + np.exp(-(self.slopes @ (by_words, by_terms) + self.offset)))
@@ -305,7 +331,7 @@ def choose_terms(known: DataFrame, toxic: int, clean: int) -> dict[str, int]:
     return {row.term: i for i, row in enumerate(best.select("term").collect())}
 
 
-def frequencies(docs: DataFrame, terms: tuple[dict[str, int], dict[str, int]]) -> tuple[int, np.ndarray]:
+def frequencies(docs: DataFrame, terms: tuple[np.ndarray, dict[str, int]]) -> tuple[int, np.ndarray]:
     """The number of documents, and in how many of them each word and then each term stands."""
     n_words = len(terms[0])
     n = n_words + len(terms[1])
@@ -315,11 +341,13 @@ def frequencies(docs: DataFrame, terms: tuple[dict[str, int], dict[str, int]]) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, seen, total = Vectors(opened(parcel)), np.zeros(n, np.int32), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                whole, found = vectors.counts(text)
-                seen[list(whole)] += 1
-                seen[[n_words + i for i in found]] += 1
-                total += 1
+            texts = batch.column(0).to_pylist()
+            for at in range(0, len(texts), TEXTS):
+                bags = [bag_of(t) for t in texts[at:at + TEXTS]]
+                for (ids, _), bag in zip(vectors.whole(bags), bags, strict=True):
+                    seen[ids] += 1
+                    seen[[n_words + i for i in vectors.found(bag)]] += 1
+            total += len(texts)
         if total:
             parts = [seen[i * each:(i + 1) * each].tobytes() for i in range(COUNT_BLOCKS)]
             yield pa.RecordBatch.from_arrays(
@@ -341,8 +369,59 @@ def frequencies(docs: DataFrame, terms: tuple[dict[str, int], dict[str, int]]) -
     return int(sums[-1][0]), np.concatenate([sums[i] for i in range(COUNT_BLOCKS)])
 
 
+def vocabulary(known: DataFrame) -> np.ndarray:
+    """Sorted hashes of all words of the examples' texts; the sample of examples bounds them."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = set().union(*[bag_of(t) for t in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes(seen, len(seen)).view(np.int64))], ["h"])
+
+    found = known.select("text").mapInArrow(words, "h long").distinct().toArrow().column("h").to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
+def _fitted(known: DataFrame, parcel) -> DataFrame:
+    """(part, data): the pickled model in parts, fitted by one task from the bounded sample of examples."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (words, terms), total, seen = opened(parcel)
+        vectors = Vectors((words, terms))
+        idf = np.log((total + 1) / (seen + 1)) + 1
+        word_idf, idf = idf[:len(words)].astype(np.float32), idf[len(words):]
+        ids, marks, whole, found = [], [], [], []
+        for batch in batches:
+            ids += batch.column(0).to_pylist()
+            marks += [float(t > 0) for t in batch.column(1).to_pylist()]
+            texts = batch.column(2).to_pylist()
+            for at in range(0, len(texts), TEXTS):
+                bags = [bag_of(t) for t in texts[at:at + TEXTS]]
+                for v in vectors.whole(bags):
+                    places, weights = weigh_arrays(*v, word_idf)
+                    whole.append((places.astype(np.int32), weights.astype(np.float32)))
+                found += [weigh(vectors.found(bag), idf) for bag in bags]
+        marks = np.array(marks)
+        model = Model((words, terms), word_idf, idf, WordIndex(whole, len(words)),
+                      BlockMaxIndex(found, len(terms)) if terms else None, marks, np.array(ids), np.zeros(2), 0.0)
+        by_terms = np.array([model.vote(*v, without=i)[0] for i, v in enumerate(found)])
+        votes = np.concatenate([np.column_stack([v, by_terms]) for v in model.own_word_votes(whole)])
+        model.slopes, model.offset = calibrate(votes, np.tile(marks, 2))
+        data = cloudpickle.dumps(model)
+        for i in range(0, len(data), PART_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array([i // PART_BYTES], pa.int32()), pa.array([data[i:i + PART_BYTES]], pa.binary())],
+                                             ["part", "data"])
+
+    return known.coalesce(1).sortWithinPartitions("doc_id").select("doc_id", "toxic", "text").mapInArrow(work, "part int, data binary")
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Model:
-    small_batches(docs.sparkSession)
+    return pickle.loads(fitted(docs, labels, limit))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> bytes:
+    """The pickled :class:`Model`. The driver holds the examples' word hashes, their counts and these bytes, no texts."""
+    spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = store(examples(docs, labels, limit), "toxicity-examples")
     sizes = {r.toxic: r.n for r in known.groupBy(F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
@@ -351,52 +430,19 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Model:
     none = np.zeros(0, np.int64)
     if not toxic or not clean:
         share = min(max(toxic / max(toxic + clean, 1), 1e-6), 1 - 1e-6)
-        return Model(({}, {}), np.zeros(0), np.zeros(0), None, None, none, none, np.zeros(2),
-                     float(np.log(share / (1 - share))))
-    terms = choose_terms(known, toxic, clean)
+        return cloudpickle.dumps(Model((none.view(np.uint64), {}), np.zeros(0), np.zeros(0), None, None, none, none, np.zeros(2),
+                                       float(np.log(share / (1 - share)))))
+    terms = vocabulary(known), choose_terms(known, toxic, clean)
+    parcel = shipped(spark, (terms, *frequencies(docs, terms)))
+    parts = store(_fitted(known, parcel), "toxicity-model").orderBy("part").collect()
+    parcel.destroy()
+    return b"".join(r.data for r in parts)
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = Vectors(({}, terms))
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            bags = [Counter(_WORD.findall((t or "").lower())) for t in texts]
-            found = [sorted(vectors.counts(t)[1].items()) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([" ".join(b) for b in bags], pa.string()),
-                 pa.array([np.array(list(b.values()), np.int32).tobytes() for b in bags], pa.binary()),
-                 pa.array([np.array(f, np.int32).tobytes() for f in found], pa.binary())],
-                ["doc_id", "toxic", "words", "counts", "terms"])
-
-    rows = known.select("doc_id", "toxic", "text").mapInArrow(
-        describe, "doc_id long, toxic int, words string, counts binary, terms binary")
-    rows = sorted(rows.collect(), key=lambda r: r.doc_id)  # at most ``limit`` rows
-    words: dict[str, int] = {}
-    bags = [(np.array([words.setdefault(w, len(words)) for w in r.words.split()], np.int32),
-             np.frombuffer(r.counts, np.int32)) for r in rows]
-    found = [dict(np.frombuffer(r.terms, np.int32).reshape(-1, 2).tolist()) for r in rows]
-    ids, marks = np.array([r.doc_id for r in rows]), np.array([float(r.toxic > 0) for r in rows])
-    del rows
-    total, seen = frequencies(docs, (words, terms))
-    idf = np.log((total + 1) / (seen + 1)) + 1
-    word_idf, idf = idf[:len(words)], idf[len(words):]
-    whole = []
-    while bags:
-        at, weights = weigh_arrays(*bags.pop(), word_idf)
-        whole.append((at, weights.astype(np.float32)))
-    whole.reverse()
-    vectors = [weigh(f, idf) for f in found]
-    model = Model((words, terms), word_idf, idf, WordIndex(whole, len(words)),
-                  BlockMaxIndex(vectors, len(terms)) if terms else None, marks, ids, np.zeros(2), 0.0)
-    by_terms = np.array([model.vote(*v, without=i)[0] for i, v in enumerate(vectors)])
-    votes = np.concatenate([np.column_stack([v, by_terms]) for v in model.own_word_votes(whole)])
-    model.slopes, model.offset = calibrate(votes, np.tile(marks, 2))
-    return model
-
-
-def scored(text: Column, model: Model, spark) -> Column:
+
+def scored(text: Column, model: bytes, spark) -> Column:
     """struct<score, evidence>: the probability and the ids of the nearest examples."""
     small_batches(spark)
-    parcel = shipped(spark, model)
+    parcel = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, evidence array<long>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -410,13 +456,13 @@ def scored(text: Column, model: Model, spark) -> Column:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents below the threshold, with the columns of ``docs``."""
-    model = fit(docs, labels)
+    model = fitted(docs, labels)
     return docs.where(scored(F.col("text"), model, docs.sparkSession)["score"] < THRESHOLD)
 
 
 def op2_toxicity(spark, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    model = fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    model = fitted(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
     found = docs.select("doc_id", scored(F.col("text"), model, spark).alias("s"))
     return found.select(
         "doc_id", (bucket_of_id(F.col("doc_id"), 4) == 2).alias("held_out"), F.col("s.score").alias("score"),

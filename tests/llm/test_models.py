@@ -69,7 +69,9 @@ def test_toxicity_on_the_test_tables(spark):
     got = {r.doc_id: r for r in toxicity.op2_toxicity(spark, FOLDER).collect()}
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     held = [i for i in labels if got[i].held_out]
-    assert sum(got[i].predicted == labels[i] for i in held) >= 0.9 * len(held)
+    hits = sum(got[i].predicted and labels[i] for i in held)
+    assert hits >= 0.6 * sum(labels[i] for i in held)           # recall and precision of toxic rows; most rows are clean
+    assert hits >= 0.7 * sum(got[i].predicted for i in held)
     assert all(0 <= r.score <= 1 for r in got.values())
 
 

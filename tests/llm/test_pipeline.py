@@ -46,4 +46,4 @@ def test_stages_on_messy_and_empty_tables(spark, messy, nothing, tmp_path):
 
 def test_every_query_is_registered():
     names = {n for n in entry.queries() if n.startswith("op") and n[2].isdigit()}
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in entry.queries()
