@@ -3,8 +3,9 @@
 A text's lower-case words, each between blanks, give n-grams of 1 to ``LONGEST`` characters, hashed into ``2 ** BITS``
 features. Document frequencies are counted over all rows that may be learned from. Weights are trained by
 FTRL-proximal with elastic-net penalties (L1 makes them sparse) on a bounded sample: about ``PER_LANGUAGE`` rows of each
-language and ``MAX_SAMPLE`` in all, those with the smallest hashed ids. A fifth of the sample is held back and only
-sets the temperature of the softmax. The model, at most ``MAX_LANGUAGES`` languages (the most frequent) by ``2 ** BITS`` numbers, is broadcast.
+language and ``MAX_SAMPLE`` in all, but ``LEAST_ROWS`` of each however many languages there are, those with the smallest
+hashed ids. A fifth of the sample is held back and only sets the temperature of the softmax. The model, every language
+by ``2 ** BITS`` numbers of four bytes, is broadcast.
 
 Defined cases: a text that is null or has no letter gets ``und`` with score 0, and so does every text if there is nothing
 to learn from; null languages, ids and texts are not learned from; ties between languages go to the first by code point;
@@ -26,7 +27,7 @@ from .shared import bucket_of_id, opened, shipped, small_batches, store, table
 from .shingles import mix
 
 LONGEST, BITS = 3, 14
-PER_LANGUAGE, MAX_SAMPLE, MAX_LANGUAGES = 1024, 8192, 128
+PER_LANGUAGE, MAX_SAMPLE, LEAST_ROWS = 1024, 8192, 32
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 1e-4, 4
 UNKNOWN = "und"
 
@@ -138,9 +139,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """``docs``: doc_id, text, lang of the rows that may be learned from."""
     small_batches(docs.sparkSession)
     docs = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language
     languages = sorted(r.lang for r in sizes)
-    per_language = min(per_language, MAX_SAMPLE // max(len(languages), 1))
+    per_language = min(per_language, max(LEAST_ROWS, MAX_SAMPLE // max(len(languages), 1)))
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, 0)), 1.0)
 
@@ -181,7 +182,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     made = store(rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_fit_rows(languages, idf), "weights binary, t double"), "language-model")
     row = made.first()
     weights = np.frombuffer(row.weights, np.float32).reshape(1 << BITS, len(languages))
-    return Model(languages, idf, weights.astype(np.float64), row.t)
+    return Model(languages, idf, weights, row.t)
 
 
 def predicted(text: Column, model: Model, spark) -> Column:

@@ -72,17 +72,18 @@ def _gzip(data: bytes, level: int) -> bytes:
 
 def members(stream, chunk: int = CHUNK) -> Iterator[bytes]:
     """The inflated members of a stream, one after the other."""
-    unpack, parts, rest = zlib.decompressobj(31), [], b""
+    unpack, parts, rest, begun = zlib.decompressobj(31), [], b"", False
     while True:
         data = rest or stream.read(chunk)
         if not data:
             break
+        begun = True        # also where only a part of the member's head has come
         parts.append(unpack.decompress(data))
         rest = unpack.unused_data
         if unpack.eof:
             yield b"".join(parts)
-            unpack, parts = zlib.decompressobj(31), []
-    if any(parts):
+            unpack, parts, begun = zlib.decompressobj(31), [], False
+    if begun:
         raise ValueError("the archive ends inside a record")
 
 
@@ -106,11 +107,17 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, dict[str, str]]:
     http, _, payload = block.partition(b"\r\n\r\n")
     if fields["warc-type"] == "response" and fields["warc-payload-digest"] != f"sha1:{digest(payload)}":
         raise ValueError(f"wrong payload digest in {fields['warc-record-id']}")
-    return fields, payload, _fields(http)
+    lines = _fields(http)
+    if fields["warc-type"] == "response" and len(payload) != int(lines["content-length"]):
+        raise ValueError(f"wrong payload length in {fields['warc-record-id']}")
+    return fields, payload, lines
 
 
-def read_archive(stream) -> Iterator[dict]:
+def read_archive(stream, records: int | None = None) -> Iterator[dict]:
+    """The records of an archive; ``records`` is how many it must hold."""
+    found = 0
     for data in members(stream):
+        found += 1
         fields, payload, http = parse(data)
         ids = {k: re.fullmatch(r"<urn:page:(-?\d*)>", fields.get(k, "<urn:page:>"))[1]
                for k in ("warc-record-id", "warc-refers-to")}
@@ -122,6 +129,8 @@ def read_archive(stream) -> Iterator[dict]:
             "payload_bytes": int(http["content-length"]),
             "payload": payload if fields["warc-type"] == "response" else None,
         }
+    if records is not None and found != records:
+        raise ValueError(f"the archive holds {found} records instead of {records}")
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
@@ -174,7 +183,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, level: int
 
 
 def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives named in ``manifest`` (column ``path``)."""
+    """One row per record of the archives named in ``manifest`` (columns ``path`` and ``records``)."""
     n = min(max(manifest.count(), 1), 10_000)
     columns = [c.split(" ")[0] for c in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
@@ -182,10 +191,10 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = _open(folder)
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with system.open_input_stream(path, compression=None) as stream:
                     rows, size = [], 0
-                    for row in read_archive(stream):
+                    for row in read_archive(stream, records):
                         rows.append(row if with_payload else row | {"payload": None})
                         size += len(rows[-1]["payload"] or b"") + 200
                         if size > 4 << 20:
@@ -198,7 +207,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
         return pa.RecordBatch.from_arrays(
             [pa.array([r[c] for r in rows], k) for c, k in zip(columns, kinds, strict=True)], columns)
 
-    return manifest.select("path").repartition(n).mapInArrow(read, RECORDS)
+    return manifest.select("path", "records").repartition(n).mapInArrow(read, RECORDS)
 
 
 def op8_warc(spark, folder: str) -> DataFrame:

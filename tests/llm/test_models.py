@@ -93,6 +93,20 @@ def test_language_cases(spark, messy, nothing):
     assert messy.select(language.predicted(messy["text"], model, spark).alias("p")).count() == messy.count()
 
 
+def test_every_language_is_learned(spark):
+    """200 languages of ten rows each, told apart by their letters."""
+    r = random.Random(8)
+
+    def text(i):
+        letters = [chr(0x4E00 + 3 * i + j) for j in range(3)]
+        return " ".join("".join(r.choices(letters, k=4)) for _ in range(12))
+
+    rows = [(10 * i + k, text(i), f"l{i:03d}") for i in range(200) for k in range(10)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 200
+    assert sum(model.predict(text(i))[0] == f"l{i:03d}" for i in range(200)) >= 190
+
+
 def best(docs, text, k=10):
     """BM25 of every document, in plain Python."""
     bags = [(i, collections.Counter(decontaminate.words(t))) for i, t in docs]

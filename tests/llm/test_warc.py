@@ -53,6 +53,30 @@ def test_members_are_readable_and_damage_is_seen():
         warc.parse(one.replace(b"hello", b"hell"))
 
 
+def test_every_cut_is_seen():
+    packed = [warc._gzip(warc.record(i, "http://x/", b"hello world" * i, None), 6) for i in (1, 2)]
+    for cut in range(1, len(packed[1])):
+        for chunk in (7, 1 << 16):
+            with pytest.raises((ValueError, warc.zlib.error)):
+                list(warc.members(io.BytesIO(packed[0] + packed[1][:cut]), chunk))
+    # a cut between records shows by their number
+    assert len(list(warc.read_archive(io.BytesIO(packed[0]), 1))) == 1
+    with pytest.raises(ValueError):
+        list(warc.read_archive(io.BytesIO(packed[0]), 2))
+    with pytest.raises(ValueError):
+        list(warc.read_archive(io.BytesIO(b""), 1))
+
+
+def test_a_wrong_http_length_is_seen():
+    one = warc.record(7, "http://x/", b"hello", None)
+    block = one.split(b"\r\n\r\n", 1)[1][:-4]
+    wrong = block.replace(b"Content-Length: 5", b"Content-Length: 6")
+    made = one.replace(block, wrong).replace(warc.digest(block).encode(), warc.digest(wrong).encode())
+    assert wrong != block
+    with pytest.raises(ValueError, match="payload length"):
+        warc.parse(made)
+
+
 def test_empty_table(spark):
     folder = new_run_dir(spark, "warc-test")
     frame = spark.createDataFrame([], "page_id long, url string, html string")
