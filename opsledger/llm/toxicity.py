@@ -107,9 +107,9 @@ class Vectors:
                 continue
             ids = self.known.get(word)
             if ids is None:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                ids = self.known[word] = [self.terms[t] for t in word_terms(word) if t in self.terms]
+                ids = [self.terms[t] for t in word_terms(word) if t in self.terms]
+                if len(self.known) < CACHE_WORDS:
+                    self.known[word] = ids
             for i in ids:
                 found[i] = found.get(i, 0) + n
         return found
