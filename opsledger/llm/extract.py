@@ -1,10 +1,11 @@
 """HTML extraction: flat text blocks, classified by a decision tree trained on a small labelled table.
 
 A page becomes a flat list of blocks, cut at block-level tags. A block is described by its word count and link
-density, those of its neighbours, and whether it stands in an article, a heading, a page-frame element (nav, footer,
-aside, form ...) or an element whose class, id or role names such a part. Such names count neither on elements outside
-articles that come to hold an article, a main or a first heading, nor in compounds like has-sidebar or sidebar-wrap; names
-of reader comments always count. The tree is trained on the blocks of
+density, those of its neighbours, whether it stands in an article, a heading, a page-frame element (nav, footer,
+aside, form ...) or an element whose class, id or role names such a part, and whether the page marks its article at all (article, main
+or a first heading). Names are two features: ``hinted`` inside articles, for reader comments and for hidden elements, and ``named``
+elsewhere, where a name says little: it does not count on elements that come to hold the marked article nor in
+compounds like has-sidebar or sidebar-wrap, and on pages that mark no article words and neighbours decide. The tree is trained on the blocks of
 ``extract_pages.PAGES``, where ``keep`` marks the main text. Scripts, styles, comments, markup and titles never give
 text; character references are decoded; white space inside a block becomes one space; blocks are joined by an empty
 line.
@@ -51,8 +52,8 @@ HINT = re.compile(
     r"contentinfo|search|hidden|copyright|legal)(?:$|[\s_-])", re.IGNORECASE)
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|respond|disqus)(?:$|[\s_-])", re.IGNORECASE)
 COMPOUND = re.compile(r"(?:^|[_-])(?:has|no|with)[_-]|[_-]wrap(?:per)?$", re.IGNORECASE)  # says something of a page's layout
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_frame", "hinted",
-            "in_article", "heading")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_frame", "hinted", "named",
+            "in_article", "heading", "marked")
 
 
 @dataclass
@@ -62,9 +63,11 @@ class Block:
     links: float
     in_frame: bool
     hinted: bool
+    named: bool
     in_article: bool
     heading: bool
     keep: bool
+    marked: bool = False
 
 
 @dataclass
@@ -76,11 +79,13 @@ class _Open:
     named: list = field(default_factory=list)  # numbers of open elements whose hint goes if they hold an article
     withdrawn: set = field(default_factory=set)
     pushed: int = 0
+    marked: bool = False
 
     def push(self, name: str, attributes: str) -> None:
         marks = []
         inside = self.flags["article"] > 0
         if name in ("article", "main", "h1") and not inside:
+            self.marked |= name != "h1" or not self.flags["frame"]
             self.withdrawn.update(self.named)
             self.named.clear()
         self.pushed += 1
@@ -133,7 +138,7 @@ def blocks(html: str | None) -> list[Block]:
         if words:
             flags = opened.flags
             out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)), flags["frame"] > 0,
-                             flags["hint"] > 0, flags["article"] > 0, flags["heading"] > 0, flags["keep"] > 0))
+                             flags["hint"] > 0, False, flags["article"] > 0, flags["heading"] > 0, flags["keep"] > 0))
             innermost.append(opened.named[-1] if opened.named else 0)
         parts.clear()
         linked = 0
@@ -179,18 +184,20 @@ def blocks(html: str | None) -> list[Block]:
             opened.push(name, tag[3])
     cut()
     for block, number in zip(out, innermost, strict=True):
-        block.hinted |= number > 0 and number not in opened.withdrawn
+        block.named = number > 0 and number not in opened.withdrawn
+        block.marked = opened.marked
     return out
 
 
 def features(page: list[Block]) -> np.ndarray:
-    rows = np.array([(b.words, b.links, b.in_frame, b.hinted, b.in_article, b.heading) for b in page], float).reshape(-1, 6)
+    rows = np.array([(b.words, b.links, b.in_frame, b.hinted, b.named, b.in_article, b.heading, b.marked) for b in page],
+                    float).reshape(-1, 8)
     edge = np.zeros((1, 2))
     near = rows[:, :2]
     return np.hstack([near, np.vstack([edge, near[:-1]])[:len(near)], np.vstack([near[1:], edge])[:len(near)], rows[:, 2:]])
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 1):
     """A decision tree by Gini impurity: (feature, threshold, low side, high side), or the leaf's answer."""
     answer = bool(y.mean() >= 0.5)
     if depth == 0 or y.min() == y.max():

@@ -4,6 +4,7 @@ LONG = "The committee met on Tuesday and spoke for three hours about the new bri
 LONGER = LONG + " Nobody expected a decision before the summer, but the mayor asked for a vote and the plan was accepted."
 MIDDLE = "Work begins in autumn and ends two years later."
 SHORT = "So it goes."
+WORD = "Yes."
 
 MENU = ('<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">About us</a></li>'
         '<li><a href="/d">Contact</a></li></ul></nav>')
@@ -40,4 +41,41 @@ PAGES = [
     f"<body>{MENU}<div class='search'><div class='sidebar'><p>{LONG}</p></div><article><h1 keep>{MIDDLE}</h1><p keep>{LONG}</p>"
     f"<p keep>{SHORT}</p></article></div><div class='legal'><p>{LONG}</p></div></body>",
     f"<body><main class='sidebar'><p keep>{LONG}</p><p keep>{SHORT}</p><div class='related'><p>{MIDDLE}</p></div></main></body>",
+    # articles of few words, and articles that end the page
+    f"<article><p keep>{WORD}</p></article>", f"<main><h1 keep>{WORD}</h1><p keep>{WORD}</p></main>",
+    f"<body>{MENU}<article><h1 keep>{WORD}</h1><p keep>{WORD}</p><p keep><a href='/1'>{WORD}</a></p></article></body>",
+    f"<body><div class='ad'>{LONG}</div><article><h1 keep>{SHORT}</h1><p keep>{LONG}</p><p keep>{WORD}</p><p keep>{LONGER}</p></article></body>",
+    f"<body>{MENU}<main><h1 keep>{MIDDLE}</h1><p keep>{SHORT}</p><h2 keep>{WORD}</h2><ul><li keep>{WORD}</li><li keep>{WORD}</li></ul></main></body>",
+    f"<article><h1 keep>{WORD}</h1><p keep>{LONGER}</p><ul><li keep><a href='/2'>{WORD}</a></li><li keep><a href='/3'>{SHORT}</a></li></ul></article>"
+    f"<footer><a href='/1'>{WORD}</a> {WORD}</footer>",
+    f"<body><article><p keep>{WORD}</p><aside>{WORD}</aside><div class='related'>{WORD}</div><form>{WORD}</form></article><div class='ad'>{WORD}</div></body>",
+    f"<body>{MENU}<div class='ad'>{WORD}</div><article><p keep>{MIDDLE}</p></article><div class='sidebar'>{LONG}</div></body>",
+    f"<p keep>{LONG}</p>", f"<p keep>{LONGER}</p><p keep>{LONG}</p>", f"<div><h2 keep>{MIDDLE}</h2><p keep>{LONG}</p><p keep>{LONG}</p></div>",
+    f"<div><h2 keep>{SHORT}</h2><p keep>{LONG}</p><p keep>{LONG}</p></div>", f"<h3 keep>{WORD}</h3><p keep>{LONG}</p><h3 keep>{SHORT}</h3><p keep>{LONG}</p>",
+    f"<div class='main sidebar-left'><h2 keep>{SHORT}</h2><p keep>{LONG}</p><p keep>{SHORT}</p><p keep>{LONG}</p></div><div class='ad'>{WORD}</div>",
+    f"<article><p keep>{SHORT}</p><p keep><a href='/1'>{WORD}</a></p><p keep>{WORD}</p></article>",
+    f"<main><h1 keep>{MIDDLE}</h1><p keep><a href='/1'>{MIDDLE}</a></p><p keep>{SHORT}</p></main>",
+    f"<article><p keep><a href='/1'>{SHORT}</a></p><p keep>{SHORT}</p><p keep><a href='/1'>{WORD}</a></p><p keep><a href='/1'>{LONG}</a></p></article>",
+    f"<article><p keep>{LONG}</p><p keep><a href='/1'>{WORD}</a></p></article>", f"<main><p keep>{WORD}</p><p keep><a href='/1'>{SHORT}</a></p></main>",
+    f"<div class='page sidebar'><h2 keep>{WORD}</h2><p keep>{LONG}</p><p keep>{LONG}</p></div>",
+    f"<body><div class='menu'><a href='/1'>{WORD}</a></div><div class='widget box'><p keep>{LONG}</p><p keep>{LONG}</p></div><div class='ad'>{SHORT}</div></body>",
+    # no article is marked: the whole page stands in elements named like parts of the frame, or next to real ones
+    f"<body><div class='container sidebar-right'><div><h2 keep>{MIDDLE}</h2><p keep>{LONG}</p><p keep>{LONGER}</p><p keep>{LONG}</p></div></div>"
+    f"<div class='menu'><a href='/1'>One</a> <a href='/2'>Two</a></div></body>",
+    f"<body><div class='menu'>{SHORT}</div><div class='widget search'><h2 keep>{SHORT}</h2><p keep>{LONGER}</p><p keep>{MIDDLE}</p><p keep>{LONGER}</p>"
+    f"<p keep>{LONG}</p></div><div class='sidebar'><a href='/9'>{MIDDLE}</a></div></body>",
+    f"<body><div id='header'><div>{SHORT}</div></div><div class='header'><a href='/x'>{SHORT}</a></div><div class='share-box legal'><p keep>{LONGER}</p>"
+    f"<p keep>{LONGER}</p><p keep>{LONG}</p></div><div class='legal'>{SHORT}</div><div class='ad'>{SHORT}</div></body>",
+    f"<body><div class='promo'>{MIDDLE}</div><div class='ad'>{SHORT}</div><p keep>{LONG}</p><p keep>{LONGER}</p><p keep>{LONG}</p>"
+    f"<div class='copyright'>{SHORT}</div><div class='social'>{MIDDLE}</div></body>",
+    f"<body><div id='menu'>{SHORT}</div><div><p keep>{LONG}</p><p keep>{LONGER}</p></div><div class='comments'><p>{LONGER}</p><p>{LONGER}</p><p>{LONG}</p></div>"
+    f"<div class='copyright'>{SHORT}</div></body>",
+    # comments after a marked article
+    f"<body>{MENU}<article><p keep>{LONG}</p><p keep>{LONGER}</p></article><div class='sidebar'><p>{LONGER}</p><p>{LONG}</p><p>{LONGER}</p></div>"
+    f"<div id='comments'><p>{LONG}</p><p>{LONGER}</p><p>{LONG}</p></div></body>",
+    # lines around a page's prose that nothing names: short ones at the edge and between links
+    f"<body><div>{SHORT}</div><ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul><div><p keep>{LONG}</p><p keep>{SHORT}</p><p keep>{LONGER}</p>"
+    f"<p keep>{MIDDLE}</p><p keep>{LONG}</p></div><ul><li><a href='/3'>Three</a></li></ul><div>{SHORT}</div></body>",
+    f"<body><table><tr><td><a href='/1'>One</a></td><td>{SHORT}</td><td><a href='/2'>Two</a></td></tr></table><p keep>{LONGER}</p><p keep>{LONG}</p>"
+    f"<p keep>{MIDDLE}</p><div><a href='/4'>{SHORT}</a></div><div>{SHORT}</div></body>",
 ]

@@ -64,3 +64,23 @@ def test_wrappers_and_elements_without_end(html, want):
 def test_many_elements_without_end_take_linear_time():
     assert extract.main_text(TREE, "<article>" + "<svg><p>a b c d</p>" * 20_000).count("\n\n") == 19_999
     assert extract.main_text(TREE, "<div class=menu>" * 20_000 + "<article><p>Yes.") == "Yes."
+
+
+def splits(tree):
+    return {extract.FEATURES[tree[0]]} | splits(tree[2]) | splits(tree[3]) if isinstance(tree, tuple) else set()
+
+
+def test_tree_splits_on_words_links_and_neighbours():
+    used = splits(TREE)
+    assert {"words", "links"} <= used and used & {"words_before", "links_before"} and used & {"words_after", "links_after"}
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<div class='container sidebar-right'><div><h2>A title</h2><p>{PROSE}</p><p>{PROSE}</p></div></div>", f"A title\n\n{PROSE}\n\n{PROSE}"),
+    (f"<body><div class='menu'><a href=/1>One</a></div><div id='widget'><p>{PROSE}</p><p>{PROSE}</p></div><div class='ad'>Buy now.</div></body>",
+     f"{PROSE}\n\n{PROSE}"),
+    (f"<body><div class='sidebar'><p>{PROSE}</p><p>{PROSE}</p></div><article><p>{PROSE}</p></article></body>", PROSE),
+    (f"<body><p>{PROSE}</p><p>{PROSE}</p><div id='comments'><p>{PROSE}</p><p>{PROSE}</p></div></body>", f"{PROSE}\n\n{PROSE}"),
+])
+def test_pages_that_mark_no_article_are_decided_by_words_and_neighbours(html, want):
+    assert extract.main_text(TREE, html) == want
