@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType
 from opsledger.functions.cleaning import report_text
 from opsledger.session import new_run_dir, remove_dir
 
+# largest report in one file, as stored
+SINGLE_BYTES = 256 << 20
 # codecs whose files can be joined end to end
 JOINABLE = {"none": "", "gzip": ".gz", "bzip2": ".bz2"}
 
@@ -35,10 +37,11 @@ def write_text_report(df: DataFrame, path: str, compression: str = "none") -> No
 
 
 def write_single_text(df: DataFrame, path: str, compression: str = "none") -> None:
-    """Replace ``path`` with a folder that holds the report as one text file, whatever its size.
+    """Replace ``path`` with a folder that holds a report of at most ``SINGLE_BYTES`` as one text file.
 
-    Tasks write the parts in parallel; then the files are joined end to end in the order of the parts, as a
-    copy of bytes in small pieces.
+    Tasks write the parts in parallel; then the files are joined end to end in the order of the parts. One file has one
+    writer, so a larger report is refused and ``path`` stays as it was: :func:`write_text_report` writes its
+    ordered parts in parallel.
     """
     if compression not in JOINABLE:
         raise ValueError(f"one file can be written with {sorted(JOINABLE)}, not {compression}")
@@ -48,6 +51,10 @@ def write_single_text(df: DataFrame, path: str, compression: str = "none") -> No
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
     source, store = folder.getFileSystem(conf), target.getFileSystem(conf)
+    size = source.getContentSummary(folder).getLength()
+    if size > SINGLE_BYTES:
+        remove_dir(spark, parts)
+        raise ValueError(f"a report of {size} bytes stays in parts; use write_text_report")
     names = sorted(s.getPath().getName() for s in source.listStatus(folder) if s.getPath().getName().startswith("part-"))
     store.delete(target, True)
     out = store.create(jvm.org.apache.hadoop.fs.Path(target, f"part-00000.txt{JOINABLE[compression]}"))

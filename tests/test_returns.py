@@ -86,7 +86,7 @@ def test_reports(export, documents):
     assert detail == {"d4": "broken", "d11": "broken"}
 
 
-def test_text_report_strips_marks_and_keeps_every_row(spark, documents):
+def test_text_report_strips_marks_and_keeps_every_row(spark, documents, monkeypatch):
     path = new_run_dir(spark, "t")
     sinks.write_single_text(r.customer_totals(documents), path)
     files_written = spark.read.text(path).inputFiles()
@@ -102,6 +102,10 @@ def test_text_report_strips_marks_and_keeps_every_row(spark, documents):
         assert len(written.inputFiles()) == 1 and written.inputFiles()[0].endswith(ending)
     with pytest.raises(ValueError):
         sinks.write_single_text(ranged, path, "snappy")
+    monkeypatch.setattr(sinks, "SINGLE_BYTES", 1000)
+    with pytest.raises(ValueError, match="stays in parts"):
+        sinks.write_single_text(ranged, path)
+    assert spark.read.text(path).count() == 5000     # the report of before
 
 
 def test_total_counts_rows_without_category(spark, documents):
