@@ -14,7 +14,7 @@ as a new text, and with its own vote among whole texts, as a copy.
 
 The classifier is fitted on at most ``MAX_EXAMPLES`` labelled rows (those with the smallest hashed ids). Their texts
 bound the words, known by 64-bit hashes; at most ``MAX_TERMS`` terms go with the label. One task fits the model from the
-sample; the driver passes its bytes on as a broadcast.
+sample; the driver passes its arrays on as a broadcast.
 
 Defined cases: null and empty texts, and texts without words of the examples, get the score of no votes; labels
 without a document, null labels and null ids are left out; a document with several labels counts as toxic if one says so; without
@@ -24,7 +24,6 @@ id; repeated rows are scored alike; an empty table gives no rows. Extra columns
 
 from __future__ import annotations
 
-import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -33,7 +32,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -216,6 +214,10 @@ class WordIndex:
         return out
 
 
+WORD_FIELDS = ("place", "dense", "rows", "weights", "starts")
+BLOCK_FIELDS = ("rows", "weights", "starts", "most")
+
+
 @dataclass
 class Model:
     terms: tuple[np.ndarray, dict[str, int]]  # hashes of the examples' words, and the label's terms
@@ -272,6 +274,31 @@ class Model:
             out.append((float(p), [int(self.ids[r]) for r in rows[:EVIDENCE]]))
         return out
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        """Everything but the terms as named arrays, without copies."""
+        out = {f: getattr(self, f) for f in ("word_idf", "idf", "toxic", "ids", "slopes")}
+        out |= {"vocabulary": self.terms[0], "offset": np.array([self.offset])}
+        for name, index, fields in (("words", self.words, WORD_FIELDS), ("index", self.index, BLOCK_FIELDS)):
+            if index is not None:
+                out |= {f"{name}.{f}": getattr(index, f) for f in fields}
+        return out
+
+    @staticmethod
+    def of(arrays: dict[str, np.ndarray], terms: dict[str, int]) -> Model:
+        """The model over the given arrays, which it does not copy."""
+        found = {}
+        for name, kind, fields in (("words", WordIndex, WORD_FIELDS), ("index", BlockMaxIndex, BLOCK_FIELDS)):
+            found[name] = None
+            if f"{name}.{fields[0]}" in arrays:
+                made = found[name] = kind.__new__(kind)
+                for f in fields:
+                    setattr(made, f, arrays[f"{name}.{f}"])
+                made.n = len(arrays["ids"])
+        if found["index"] is not None:
+            found["index"].block, found["index"].n_blocks = BLOCK, -(-len(arrays["ids"]) // BLOCK)
+        return Model((arrays["vocabulary"], terms), arrays["word_idf"], arrays["idf"], found["words"], found["index"], arrays["toxic"],
+                     arrays["ids"], arrays["slopes"], float(arrays["offset"][0]))
+
     def score(self, vectors: Vectors, text: str | None) -> tuple[float, list[int]]:
         return self.scores(vectors, [text])[0]
 
@@ -382,7 +409,7 @@ def vocabulary(known: DataFrame) -> np.ndarray:
 
 
 def _fitted(known: DataFrame, parcel) -> DataFrame:
-    """(part, data): the pickled model in parts, fitted by one task from the bounded sample of examples."""
+    """(head, part, data): the model's arrays in parts, fitted by one task from the bounded sample of examples."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (words, terms), total, seen = opened(parcel)
@@ -406,20 +433,22 @@ def _fitted(known: DataFrame, parcel) -> DataFrame:
         by_terms = np.array([model.vote(*v, without=i)[0] for i, v in enumerate(found)])
         votes = np.concatenate([np.column_stack([v, by_terms]) for v in model.own_word_votes(whole)])
         model.slopes, model.offset = calibrate(votes, np.tile(marks, 2))
-        data = cloudpickle.dumps(model)
-        for i in range(0, len(data), PART_BYTES):
-            yield pa.RecordBatch.from_arrays([pa.array([i // PART_BYTES], pa.int32()), pa.array([data[i:i + PART_BYTES]], pa.binary())],
-                                             ["part", "data"])
+        del whole, found, vectors
+        for name, array in model.arrays().items():
+            head, data = f"{name} {array.dtype.str} {','.join(map(str, array.shape))}", array.tobytes()
+            for i in range(0, max(len(data), 1), PART_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.array([head]), pa.array([i // PART_BYTES], pa.int32()),
+                                                  pa.array([data[i:i + PART_BYTES]], pa.binary())], ["head", "part", "data"])
 
-    return known.coalesce(1).sortWithinPartitions("doc_id").select("doc_id", "toxic", "text").mapInArrow(work, "part int, data binary")
+    return known.coalesce(1).sortWithinPartitions("doc_id").select("doc_id", "toxic", "text").mapInArrow(work, "head string, part int, data binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> Model:
-    return pickle.loads(fitted(docs, labels, limit))
+    return Model.of(*fitted(docs, labels, limit))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> bytes:
-    """The pickled :class:`Model`. The driver holds the examples' word hashes, their counts and these bytes, no texts."""
+def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+    """Arrays and terms of the :class:`Model`. The driver holds these, the examples' word hashes and their counts, no texts."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -430,23 +459,28 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> byt
     none = np.zeros(0, np.int64)
     if not toxic or not clean:
         share = min(max(toxic / max(toxic + clean, 1), 1e-6), 1 - 1e-6)
-        return cloudpickle.dumps(Model((none.view(np.uint64), {}), np.zeros(0), np.zeros(0), None, None, none, none, np.zeros(2),
-                                       float(np.log(share / (1 - share)))))
+        return Model((none.view(np.uint64), {}), np.zeros(0), np.zeros(0), None, None, none, none, np.zeros(2),
+                     float(np.log(share / (1 - share)))).arrays(), {}
     terms = vocabulary(known), choose_terms(known, toxic, clean)
     parcel = shipped(spark, (terms, *frequencies(docs, terms)))
-    parts = store(_fitted(known, parcel), "toxicity-model").orderBy("part").collect()
+    stored = store(_fitted(known, parcel), "toxicity-model")
     parcel.destroy()
-    return b"".join(r.data for r in parts)
+    arrays = {}
+    for head in sorted(r.head for r in stored.select("head").distinct().collect()):      # one array at a time
+        name, kind, shape = head.split(" ")
+        data = b"".join(r.data for r in stored.where(F.col("head") == head).orderBy("part").collect())
+        arrays[name] = (np.frombuffer(data, kind) if data else np.zeros(0, kind)).reshape([int(n) for n in shape.split(",")])
+    return arrays, terms[1]
 
 
-def scored(text: Column, model: bytes, spark) -> Column:
+def scored(text: Column, model: tuple[dict[str, np.ndarray], dict[str, int]], spark) -> Column:
     """struct<score, evidence>: the probability and the ids of the nearest examples."""
     small_batches(spark)
     parcel = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, evidence array<long>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = opened(parcel)
+        known = Model.of(*parcel.value)
         vectors = Vectors(known.terms)
         for texts in batches:
             yield pd.DataFrame(known.scores(vectors, texts.tolist()), columns=["score", "evidence"])
