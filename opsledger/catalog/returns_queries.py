@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from opsledger.catalog import sql as q
 from opsledger.plans import patterns, returns as r
-from opsledger.session import new_run_dir
+from opsledger.session import new_run_dir, stored
 from opsledger.sources import files, sinks
 from opsledger.testbed import tables as t
 
@@ -116,7 +116,8 @@ def report_text_parts(spark, d):
 def pattern_counts_by_part(spark, d):
     """Lines per pattern of a table of patterns: one per part, found in the case lines through their rarest words."""
     exported = t.return_lines(spark, d)
-    lines = exported.select(F.concat("case_text", F.lit(" ref "), "internal_id").alias("value"))
+    # the words are counted, then looked up: the joins that make the lines run once
+    lines = stored(exported.select(F.concat("case_text", F.lit(" ref "), "internal_id").alias("value")), "case-lines")
     part = files.read_table(spark, d, "part")
     wanted = F.array(F.concat(F.lit(" - "), "p_name", F.lit(",")), F.lit("ref "), F.concat(F.lit("-"), "p_partkey", F.lit("-")))
     table = patterns.PatternTable(part.select(F.col("p_partkey").alias("pattern_id"), wanted.alias("fragments")), lines)

@@ -66,3 +66,16 @@ def test_no_patterns_and_no_lines(spark):
     table, rows = frames(spark, PATTERNS, LINES)
     assert patterns.PatternTable(table.limit(0)).matches(rows).count() == 0
     assert patterns.PatternTable(table).matches(rows.limit(0)).count() == 0
+
+
+def test_a_line_travels_only_under_words_that_patterns_wait_under(spark, monkeypatch):
+    lines = spark.range(500).select(F.concat(F.lit("CASE7 - red ring, 1-LOW ref 3-"), F.col("id"), F.lit("-"), F.col("id") % 9).alias("value"))
+    wanted = F.array(F.lit(" - red ring,"), F.lit("ref "), F.concat(F.lit("-"), F.col("id"), F.lit("-")))
+    sent = []
+    monkeypatch.setattr(joins, "is_small", lambda df, *_: False)
+    joined = joins.skew_join
+    monkeypatch.setattr(joins, "skew_join", lambda fact, dim, key, how="inner": sent.append(fact) or joined(fact, dim, key, how))
+    table = patterns.PatternTable(spark.range(400).select(F.col("id").alias("pattern_id"), wanted.alias("fragments")), lines)
+    assert {r.pattern_id: r.occurrences for r in table.counts(lines).collect()} == dict.fromkeys(range(400), 1)
+    # each line has nine words; the number of a part is the one that patterns wait under
+    assert sent[0].count() <= 420
