@@ -203,3 +203,37 @@ def test_degrees_over_several_lines(spark):
     assert [tuple(r) for r in graph.top_nodes(lines, names, 3).collect()] == [(1, "ONE", 3), (7, "SEVEN", 3), (2, None, 0)]
     sums = {r.degree: (int(r.sum_node), int(r.sum_degree)) for r in graph.degree_sums(lines).collect()}
     assert sums == {2: (1, 2), 1: (1, 1), 0: (2, 0), 3: (7, 3)}
+
+
+def test_blocks_of_a_fit_do_not_follow_the_shuffle_partitions(spark, monkeypatch):
+    data = [(f"u{i % 9}", f"i{i % 7}", float(1 + i % 5)) for i in range(120)]
+    indexed, _, _ = recommend.with_indexes(spark.createDataFrame(data, RATINGS))
+    asked = []
+
+    class Recorded(recommend.ALS):
+        def __init__(self, **settings):
+            asked.append((settings["numUserBlocks"], settings["numItemBlocks"]))
+            super().__init__(**settings)
+
+    monkeypatch.setattr(recommend, "ALS", Recorded)
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        recommend.fit_als(indexed, rank=2, maxIter=1)
+        monkeypatch.setattr(recommend, "BLOCK_RATINGS", 20)
+        recommend.fit_als(indexed, rank=2, maxIter=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert asked == [(4, 4), (6, 6)]
+
+
+def test_ratings_are_joined_once_and_hot_keys_sought_in_stored_rows(spark, monkeypatch):
+    data = [("hot" if i % 3 else f"u{i}", f"i{i % 7}", float(1 + i % 5)) for i in range(200)]
+    sought, found = [], joins.hot_keys
+    monkeypatch.setattr(joins, "is_small", lambda df, *_: False)
+    monkeypatch.setattr(joins, "hot_keys", lambda df, key: sought.append(df) or found(df, key))
+    indexed, users, items = recommend.with_indexes(spark.createDataFrame(data, RATINGS))
+    model = recommend.fit_als(indexed, rank=2, maxIter=1)
+    residuals = recommend.residuals(model, indexed)
+    assert {r.user: r.ratings for r in residuals.join(users, "user_index").collect()} == Counter(d[0] for d in data)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in [indexed, *sought]]
+    assert len(plans) == 5 and not any("Join" in plan for plan in plans)
