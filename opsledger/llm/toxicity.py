@@ -28,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -43,30 +44,38 @@ MAX_TERMS = 4096
 PREFIXES = (3, 4, 5, 6, 7)
 LEAST_TOXIC = 3
 FALSE_TERMS = 0.01  # expected number of terms chosen by chance
-BLOCK, FIRST_BLOCKS = 128, 4
+BLOCK, FIRST_BLOCKS = 128, 16
 K = 15
 PRIOR_VOTE = 0.5
 THRESHOLD = 0.3
 EVIDENCE = 5
 COMMON, TEXTS = 256, 64
+GROUP, ROW = 64, (1 << 32) - 1
 MARGIN = 1e-5  # larger than the rounding of single-precision cosines
 COUNT_BLOCKS = 32
 CACHE_WORDS = 50_000
+COUNTED_TERMS = 200_000
 PART_BYTES = 4 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
+_BREAKS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def word_terms(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
-def text_terms(text: str | None) -> Counter:
-    found: Counter = Counter()
-    for word, n in bag_of(text).items():
-        for term in word_terms(word):
-            found[term] += n
-    return found
+def words_of(text: str | None) -> list[str]:
+    """What ``_WORD`` finds in the lower-case text: cut at ASCII characters first, the rest is searched only if it has to be."""
+    data = (text or "").lower().encode("utf-8", "surrogatepass")
+    words = data.translate(_BREAKS).decode("utf-8", "surrogatepass").split()
+    if all(map(str.isalpha, words)):
+        return words
+    return [x for w in words for x in ((w,) if w.isalpha() else _WORD.findall(w))]
+
+
+def text_terms(text: str | None) -> set[str]:
+    return set().union(*map(word_terms, set(words_of(text))))
 
 
 def hashes(words: Iterable[str], n: int) -> np.ndarray:
@@ -76,45 +85,59 @@ def hashes(words: Iterable[str], n: int) -> np.ndarray:
 class Vectors:
     """Counts of the examples' words and of the label's terms in texts.
 
-    The examples' words are a sorted array of 64-bit hashes. Words that begin like no term are passed over for the
-    terms, others are looked up.
+    The examples' words are a sorted array of 64-bit hashes. About ``CACHE_WORDS`` words keep their place, found once. An
+    example's word that turned out to have none of the terms is passed over from then on; others are looked up.
     """
 
     def __init__(self, known: tuple[np.ndarray, dict[str, int]]):
         self.words, self.terms = known
+        self.places: dict[str, int] = {}
+        self.plain = np.zeros(len(self.words), bool)
         self.known: dict[str, list[int]] = {}
         self.heads = {t[:3] for t in self.terms}
 
-    def whole(self, bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per bag of words the numbers of those that examples have, and their counts."""
+    def found(self, bags: list[Counter]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[dict[int, int]]]:
+        """Per bag of words the numbers of those that examples have, with their counts, and the terms with theirs."""
+        terms: list[dict[int, int]] = [{} for _ in bags]
         if not len(self.words):
-            return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(bags)
-        found = hashes((w for bag in bags for w in bag), sum(map(len, bags)))
-        counts = np.fromiter((n for bag in bags for n in bag.values()), np.int64, len(found))
-        place = np.minimum(np.searchsorted(self.words, found), len(self.words) - 1)
-        hit = self.words[place] == found
+            return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(bags), terms
+        words = list(chain.from_iterable(bags))
+        counts = np.fromiter(chain.from_iterable(bag.values() for bag in bags), np.int64, len(words))
+        place = np.fromiter(map(self.places.get, words, repeat(-2)), np.int64, len(words))
+        new = np.flatnonzero(place == -2)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            found = hashes(fresh, len(fresh))
+            at = np.minimum(np.searchsorted(self.words, found), len(self.words) - 1)
+            at[self.words[at] != found] = -1
+            place[new] = at
+            if len(self.places) < CACHE_WORDS:
+                self.places.update(zip(fresh, at.tolist(), strict=True))
+        hit = place >= 0
         ends = np.cumsum([0, *map(len, bags)])
-        return [(place[a:b][hit[a:b]], counts[a:b][hit[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
-    def found(self, bag: Counter) -> dict[int, int]:
-        """The label's terms in a bag of words and their counts."""
-        found: dict[int, int] = {}
-        heads = self.heads
-        for word, n in bag.items() if heads else ():
-            if (word[:3] if len(word) > 2 else word + "$") not in heads:
-                continue
-            ids = self.known.get(word)
-            if ids is None:
-                ids = [self.terms[t] for t in word_terms(word) if t in self.terms]
-                if len(self.known) < CACHE_WORDS:
-                    self.known[word] = ids
-            for i in ids:
-                found[i] = found.get(i, 0) + n
-        return found
+        open_ = np.flatnonzero(~hit | ~self.plain[place]) if self.terms else new[:0]
+        of = np.searchsorted(ends, open_, "right") - 1
+        for i, mine, at in zip(open_.tolist(), of.tolist(), place[open_].tolist(), strict=True):
+            ids = self._terms_of(words[i])
+            if not ids and at >= 0:
+                self.plain[at] = True
+            for t in ids:
+                terms[mine][t] = terms[mine].get(t, 0) + int(counts[i])
+        return [(place[a:b][hit[a:b]], counts[a:b][hit[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)], terms
+
+    def _terms_of(self, word: str) -> list[int]:
+        if (word[:3] if len(word) > 2 else word + "$") not in self.heads:
+            return []
+        ids = self.known.get(word)
+        if ids is None:
+            ids = [self.terms[t] for t in word_terms(word) if t in self.terms]
+            if len(self.known) < CACHE_WORDS:
+                self.known[word] = ids
+        return ids
 
 
 def bag_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+    return Counter(words_of(text))
 
 
 def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,12 +188,24 @@ class BlockMaxIndex:
                 scores[without] = 0
             found = np.flatnonzero(scores > 0)
             rows, values = np.concatenate([rows, found]), np.concatenate([values, scores[found]])
+            if len(values) > k:
+                near = values >= np.partition(values, len(values) - k)[len(values) - k]
+                rows, values = rows[near], values[near]
             best = np.lexsort((rows, -values))[:k]
             rows, values = rows[best], values[best]
             begin, n = begin + n, n * 2
         return rows, values
 
 
+def below_kth(values: np.ndarray, k: int) -> float:
+    """A bound that at least ``k`` of the values reach, from the largest of every ``GROUP``; 0 for few values."""
+    n = len(values) // GROUP
+    if n <= k:
+        return 0.0
+    largest = values[:n * GROUP].reshape(GROUP, n).max(axis=0)
+    return float(np.partition(largest, n - k)[n - k])
+
+
 class WordIndex:
     """Exact nearest examples by inner product, for vectors of many words, several texts at once."""
 
@@ -188,7 +223,9 @@ class WordIndex:
         self.dense[rows[dense], self.place[words[dense]]] = weights[dense]
         rows, words, weights = rows[~dense], words[~dense], weights[~dense]
         order = np.argsort(words, kind="stable")
-        self.rows, self.weights = rows[order], weights[order]
+        # row and weight of a posting lie side by side, so a word's postings are fetched at once
+        self.postings = np.empty(len(order), np.int64)
+        self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2] = rows[order], weights[order]
         self.starts = np.searchsorted(words[order], np.arange(n_words + 1))
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None):
@@ -198,23 +235,32 @@ class WordIndex:
             mine = self.place[ids] >= 0
             often[t, self.place[ids[mine]]] = weights[mine]
         near = often.astype(np.float32) @ self.dense.T
-        out = []
+        out, steps, room = [], np.zeros(0, np.int64), np.zeros(0, np.int64)  # arrays that all texts use
         for t, (ids, weights) in enumerate(texts):
             mine = self.place[ids] < 0
-            postings, word = ranges(self.starts[ids[mine]], self.starts[ids[mine] + 1])
-            rest = np.bincount(self.rows[postings], weights[mine][word] * self.weights[postings], self.n)
+            begins = self.starts[ids[mine]]
+            sizes = self.starts[ids[mine] + 1] - begins
+            at, rest = np.repeat(begins - np.cumsum(sizes) + sizes, sizes), np.repeat(weights[mine], sizes)
+            if len(at) > len(steps):
+                steps = np.arange(2 * len(at))
+                room = np.empty_like(steps)
+            at += steps[:len(at)]
+            found = self.postings.take(at, out=room[:len(at)], mode="clip")
+            rest *= found.view(np.float32)[1::2]
+            found &= ROW
+            rest = np.bincount(found, rest, self.n)
             about = near[t] + rest
             if without is not None:
                 about[without[t]] = -1
-            least = np.partition(about, self.n - k)[self.n - k] if self.n > k else 0.0
-            rows = np.flatnonzero((about >= least - MARGIN) & (about > 0))
+            least = below_kth(about, k) - MARGIN
+            rows = np.flatnonzero(about >= least if least > 0 else about > 0)
             values = rest[rows] + self.dense[rows].astype(np.float64) @ often[t]
             best = np.lexsort((rows, -values))[:k]
             out.append((rows[best], np.minimum(values[best], 1.0)))
         return out
 
 
-WORD_FIELDS = ("place", "dense", "rows", "weights", "starts")
+WORD_FIELDS = ("place", "dense", "postings", "starts")
 BLOCK_FIELDS = ("rows", "weights", "starts", "most")
 
 
@@ -261,13 +307,14 @@ class Model:
 
     def _scores(self, vectors: Vectors, bags: list[Counter]) -> list[tuple[float, list[int]]]:
         none = np.zeros(0, np.int64)
-        whole = [(none, none)] * len(bags)
+        whole, terms = vectors.found(bags)
         if self.words:
-            whole = self.words.nearest([weigh_arrays(*v, self.word_idf) for v in vectors.whole(bags)], K)
+            whole = self.words.nearest([weigh_arrays(*v, self.word_idf) for v in whole], K)
+        else:
+            whole = [(none, none)] * len(bags)
         out = []
-        for (rows, cosines), bag in zip(whole, bags, strict=True):
+        for (rows, cosines), found in zip(whole, terms, strict=True):
             by_words = self.word_vote(rows, cosines)
-            found = vectors.found(bag)
             by_terms, closer = self.vote(*weigh(found, self.idf)) if found else (0.0, [])
             rows = closer if len(closer) else rows
             p = 1 / (1 + np.exp(-(self.slopes @ (by_words, by_terms) + self.offset)))
@@ -335,13 +382,21 @@ def choose_terms(known: DataFrame, toxic: int, clean: int) -> dict[str, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = (Counter(), Counter())
+
+        def made() -> Iterator[pa.RecordBatch]:
+            for side, counts in enumerate(sides):
+                terms, found = pa.array(list(counts), pa.string()), np.fromiter(counts.values(), np.int64, len(counts))
+                zero = np.zeros(len(counts), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [terms, *(pa.array(found if side == s else zero) for s in (0, 1))], ["term", "clean", "toxic"])
+                counts.clear()
+
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sides[1 if label else 0].update(set(text_terms(text)))
-        terms = list(sides[0].keys() | sides[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), *(pa.array([s[t] for t in terms], pa.int64()) for s in sides)],
-            ["term", "clean", "toxic"])
+                sides[1 if label else 0].update(text_terms(text))
+                if sum(map(len, sides)) > COUNTED_TERMS:
+                    yield from made()
+        yield from made()
 
     each = known.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long")
     sums = store(each.groupBy("term").agg(F.sum("clean").alias("n"), F.sum("toxic").alias("p")), "toxicity-terms")
@@ -370,10 +425,9 @@ def frequencies(docs: DataFrame, terms: tuple[np.ndarray, dict[str, int]]) -> tu
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for at in range(0, len(texts), TEXTS):
-                bags = [bag_of(t) for t in texts[at:at + TEXTS]]
-                for (ids, _), bag in zip(vectors.whole(bags), bags, strict=True):
+                for (ids, _), found in zip(*vectors.found([bag_of(t) for t in texts[at:at + TEXTS]]), strict=True):
                     seen[ids] += 1
-                    seen[[n_words + i for i in vectors.found(bag)]] += 1
+                    seen[[n_words + i for i in found]] += 1
             total += len(texts)
         if total:
             parts = [seen[i * each:(i + 1) * each].tobytes() for i in range(COUNT_BLOCKS)]
@@ -422,11 +476,11 @@ def _fitted(known: DataFrame, parcel) -> DataFrame:
             marks += [float(t > 0) for t in batch.column(1).to_pylist()]
             texts = batch.column(2).to_pylist()
             for at in range(0, len(texts), TEXTS):
-                bags = [bag_of(t) for t in texts[at:at + TEXTS]]
-                for v in vectors.whole(bags):
+                words_, terms_ = vectors.found([bag_of(t) for t in texts[at:at + TEXTS]])
+                for v in words_:
                     places, weights = weigh_arrays(*v, word_idf)
                     whole.append((places.astype(np.int32), weights.astype(np.float32)))
-                found += [weigh(vectors.found(bag), idf) for bag in bags]
+                found += [weigh(f, idf) for f in terms_]
         marks = np.array(marks)
         model = Model((words, terms), word_idf, idf, WordIndex(whole, len(words)),
                       BlockMaxIndex(found, len(terms)) if terms else None, marks, np.array(ids), np.zeros(2), 0.0)

@@ -207,3 +207,35 @@ def test_of_repeated_queries_the_smallest_text_is_asked(spark):
     rows = search.search(spark.createDataFrame(docs, "doc_id long, text string"),
                          spark.createDataFrame(queries, "query_id long, text string").coalesce(1)).collect()
     assert [r.doc_id for r in rows] == [0]
+
+
+def test_words_are_those_of_the_pattern():
+    r = random.Random(14)
+    signs = ["a", "B", "é", "½", "²", "٣", "—", "_", " ", "字", "7", "İ", "ß", "\u0301", "\u212a", "Ⅷ", "\x1c", "\x85", "🙂", "ª", "\n"]
+    for _ in range(2000):
+        text = "".join(r.choices(signs, k=r.randrange(15)))
+        assert toxicity.words_of(text) == toxicity._WORD.findall(text.lower())
+    assert toxicity.words_of(None) == []
+
+
+def test_known_words_are_looked_up_once(monkeypatch):
+    asked = []
+    hashes = toxicity.hashes
+    monkeypatch.setattr(toxicity, "hashes", lambda words, n: asked.append(n) or hashes(words, n))
+    known = np.sort(hashes(["one", "two", "krott"], 3))
+    vectors = toxicity.Vectors((known, {"kro": 0, "krott$": 1}))
+    bags = [toxicity.bag_of(t) for t in ("One two two krott", None, "kroll other one")]
+    first, again = vectors.found(bags), vectors.found(bags)
+    assert sum(asked) == 6 and first[1] == again[1] == [{0: 1, 1: 1}, {}, {0: 1}]
+    for found in (first[0], again[0]):
+        assert [sorted(zip(known[ids].tolist(), n.tolist(), strict=True)) for ids, n in found] == [
+            sorted((int(hashes([w], 1)[0]), n) for w, n in bag.items() if hashes([w], 1)[0] in known) for bag in bags]
+
+
+def test_terms_are_counted_in_bounded_parts(spark, monkeypatch):
+    rows = invented(15, 200)
+    known = spark.createDataFrame([(r[2], r[1]) for r in rows], "toxic int, text string").coalesce(1)
+    toxic = sum(r[2] for r in rows)
+    want = toxicity.choose_terms(known, toxic, 200 - toxic)
+    monkeypatch.setattr(toxicity, "COUNTED_TERMS", 300)
+    assert want and toxicity.choose_terms(known, toxic, 200 - toxic) == want
