@@ -254,6 +254,9 @@ class WordIndex:
                 about[without[t]] = -1
             least = below_kth(about, k) - MARGIN
             rows = np.flatnonzero(about >= least if least > 0 else about > 0)
+            if len(rows) > k:
+                near_k = about[rows]
+                rows = rows[near_k >= np.partition(near_k, len(rows) - k)[len(rows) - k] - MARGIN]
             values = rest[rows] + self.dense[rows].astype(np.float64) @ often[t]
             best = np.lexsort((rows, -values))[:k]
             out.append((rows[best], np.minimum(values[best], 1.0)))
