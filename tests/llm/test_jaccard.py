@@ -1,9 +1,10 @@
 import random
 import re
+import tracemalloc
 
 from pyspark.sql import functions as F
 
-from opsledger.llm import jaccard
+from opsledger.llm import jaccard, shingles as hashed
 from opsledger.llm.components import components
 
 
@@ -86,3 +87,15 @@ def test_components_of_paths_stars_and_cycles(spark):
     want = {i: 100 for i in range(100, 401)} | {1000 + i: 1000 for i in range(500)} | {2000 + i: 2000 for i in range(50)}
     assert got == want | {-5: -5, 2 ** 62: -5}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_shingles_of_many_texts_take_memory_of_a_piece():
+    r = random.Random(21)
+    texts = [" ".join(str(r.randrange(3000)) for _ in range(200)) for _ in range(1000)]
+    alone = [hashed.shingle_sets([t], 4)[0] for t in texts[:20]]
+    tracemalloc.start()
+    found = hashed.shingle_sets(texts, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(alone, found, strict=False))
+    assert peak < sum(f.nbytes for f in found) + (16 << 20)
