@@ -5,12 +5,14 @@ known by a 64-bit hash. Tasks write shards of about ``SHARD_WORDS`` words: posti
 length and then id. Numbers of documents and words, and the document frequency of every query word, are summed over
 all shards, so scores do not depend on the sharding.
 
-A search reads a shard with blocks of ``BLOCK`` documents. The largest weight of each word in each block bounds a
-block's scores; the query's bounds are summed per block, and blocks are scored in order of their bounds, a few at
-first and then more, until no bound reaches the k-th score. Weights of words that stand in one of ``COMMON``
-documents are laid out densely, block by block; all others are postings. That score is kept from shard to shard of a task.
-The k best of every task are merged by score, then by smaller doc_id. This takes the place of WAND's cursors and pivots:
-it prunes by the same bounds, but whole blocks, in few steps over arrays.
+A search goes through a shard for ``BATCH`` queries at a time. Words that stand in at least one of ``COMMON`` documents are
+laid out as a dense table, all others are postings. A query's rare words are summed exactly; the largest weights of its
+common words in each block of ``BLOCK`` documents bound the rest, and only documents that can reach the k-th score go on.
+Where more than ``FEW`` do, as for long queries whose best scores are close, one product of matrices adds the common words
+of all such queries of the batch, in single precision with a bound of its error. Documents that still can reach the
+k-th score get their exact score, summed in the order of the words, so equal documents have equal scores in every shard.
+That k-th score is kept from shard to shard of a task. The k best of every task are merged by score, then by smaller
+doc_id. This takes the place of WAND's cursors and pivots: it prunes by the same bounds, in few steps over arrays.
 
 Queries go through the shards in blocks of about ``QUERY_PAIRS`` (query, word) pairs, which are broadcast.
 
@@ -31,8 +33,11 @@ from .shared import pieces, small_batches, store, table
 from .shingles import ranges, word_hashes
 
 K, K1, B = 10, 1.2, 0.75
-SHARD_WORDS, BLOCK, FIRST_BLOCKS, GROWTH = 5_000_000, 64, 16, 16
-COMMON = 16  # words of one document in so many are kept in dense blocks
+SHARD_WORDS, BLOCK = 5_000_000, 64
+COMMON = 16  # words of one document in so many are kept in a dense table
+BATCH = 256  # queries that meet the dense table at once
+FEW = 16  # documents that are scored one by one
+POSTING = np.dtype([("weight", np.float32), ("row", np.uint32)])
 QUERY_PAIRS = 2_000_000
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 _NORMAL = bytes(32 if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -130,80 +135,109 @@ def weighted_queries(queries: DataFrame, shards: DataFrame, n_docs: int) -> Data
         "query_id", F.col("w.term").alias("terms"), F.col("w.weight").alias("weights"))
 
 
+class Queries:
+    """Weighted queries, one after the other: the place of each word in ``terms``, all words in order, and its weight."""
+
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray):
+        self.ids, self.starts, self.weights = ids, starts, weights
+        self.terms, places = np.unique(terms.view(np.uint64), return_inverse=True)
+        self.places = places.astype(np.int32)
+
+
 class Shard:
     """A shard ready for searching."""
 
     def __init__(self, row: dict, mean_words: float, k1: float = K1, b: float = B):
         self.ids = np.frombuffer(row["ids"], np.int64)
         lengths = np.frombuffer(row["lengths"], np.int64)
-        terms = np.frombuffer(row["terms"], np.uint64).view(np.int64)
-        starts = np.frombuffer(row["starts"], np.int64)
-        self.rows = np.frombuffer(row["rows"], row["rows_type"]).astype(np.int64)
+        self.terms = np.frombuffer(row["terms"], np.uint64)
+        self.starts = np.frombuffer(row["starts"], np.int64)
+        rows = np.frombuffer(row["rows"], row["rows_type"])
         counts = np.frombuffer(row["counts"], row["counts_type"]).astype(np.float64)
         norm = k1 * (1 - b + b * lengths / mean_words)
-        self.weights = counts * (k1 + 1) / (counts + norm[self.rows])
-        self.n_blocks = -(-len(self.ids) // BLOCK)
-        term_of = np.repeat(np.arange(len(terms)), np.diff(starts))
-        block = self.rows // BLOCK
-        # words of many documents: a dense table of weights by block, of at most ``COMMON`` times the postings
-        self.common = np.full(len(terms), -1)
-        often = np.flatnonzero(np.diff(starts) * COMMON >= len(self.ids))
+        weights = counts * (k1 + 1) / (counts + norm[rows])
+        # row and weight side by side, as numbers of eight bytes
+        postings = np.empty(len(rows), POSTING)
+        postings["row"], postings["weight"] = rows, weights
+        self.postings = postings.view(np.uint64)
+        sizes = np.diff(self.starts)
+        # postings by document, in the order of the words, so equal documents of all shards get equal sums
+        by_doc = np.argsort(rows, kind="stable")
+        self.doc_terms = np.repeat(np.arange(len(self.terms), dtype=np.int32), sizes)[by_doc]
+        self.doc_weights = weights[by_doc]
+        self.doc_starts = np.append(0, np.cumsum(np.bincount(rows, minlength=len(self.ids))))
+        # words of many documents: a dense table of weights, of at most ``COMMON`` times the postings
+        often = np.flatnonzero(sizes * COMMON >= len(self.ids))
+        self.common = np.full(len(self.terms), -1, np.int32)
         self.common[often] = np.arange(len(often))
-        dense = self.common[term_of] >= 0
-        self.table = np.zeros((len(often), self.n_blocks, BLOCK))
-        self.table[self.common[term_of[dense]], block[dense], self.rows[dense] % BLOCK] = self.weights[dense]
-        self.table_most = self.table.max(axis=2)
-        # all others in cells: postings of one word in one block
-        self.rows, self.weights, block = self.rows[~dense], self.weights[~dense], block[~dense]
-        cell = term_of[~dense] * self.n_blocks + block
-        new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-        self.cells = np.append(new, len(cell))
-        self.cell_block = block[new]
-        self.cell_most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
-        self.term_cells = np.searchsorted(cell[new], np.arange(len(terms) + 1) * self.n_blocks)
-        order = np.argsort(terms, kind="stable")  # stored in order of the unsigned hash
-        self.terms, self.places = terms[order], order
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, best: tuple[np.ndarray, np.ndarray]):
-        """The k best (scores, ids) of this shard and ``best``."""
-        at = np.searchsorted(self.terms, terms)
+        self.table = np.zeros((len(often), len(self.ids)), np.float32)
+        for i, (x, y) in enumerate(zip(self.starts[often], self.starts[often + 1], strict=True)):
+            self.table[i, rows[x:y]] = weights[x:y]
+        self.table_most = np.maximum.reduceat(self.table, np.arange(0, len(self.ids), BLOCK), axis=1)
+        # sums of positive single numbers are exact up to this share
+        self.share = (len(often) + 8) * 2.0 ** -23
+        self.asked = np.zeros(len(self.terms))
+
+    def scores(self, docs: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The exact scores of the documents."""
+        self.asked[at] = weights
+        places, which = ranges(self.doc_starts[docs], self.doc_starts[docs + 1])
+        found = np.bincount(which, self.asked[self.doc_terms[places]] * self.doc_weights[places], len(docs))
+        self.asked[at] = 0
+        return found
+
+    def search(self, queries: Queries, k: int, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Puts the k best (scores, ids) of this shard and ``best`` of each query into ``best``."""
+        at = np.searchsorted(self.terms, queries.terms)
         at[at == len(self.terms)] = 0
-        here = self.terms[at] == terms
-        at, weights = self.places[at[here]], weights[here]
-        if not len(at):
-            return best
-        dense = self.common[at] >= 0
-        common, common_weights = self.common[at[dense]], weights[dense]
-        at, weights = at[~dense], weights[~dense]
-        cells, which = ranges(self.term_cells[at], self.term_cells[at + 1])
-        weight, block = weights[which], self.cell_block[cells]
-        bounds = np.bincount(block, weight * self.cell_most[cells], self.n_blocks)
-        bounds = bounds + common_weights @ self.table_most[common]
-        order = np.argsort(-bounds, kind="stable")
-        begin, n = 0, FIRST_BLOCKS
-        while begin < self.n_blocks:
-            least = (best[0][k - 1] if len(best[0]) >= k else 0.0) * (1 - 1e-12)
-            chosen = order[begin:begin + n]
-            chosen = chosen[(bounds[chosen] >= least) & (bounds[chosen] > 0)]
-            if not len(chosen):
-                break
-            scores = common_weights @ self.table[common[:, None], chosen].reshape(len(common), len(chosen) * BLOCK)
-            place = np.full(self.n_blocks, -1)
-            place[chosen] = np.arange(len(chosen))
-            part = np.flatnonzero(place[block] >= 0)
-            postings, cell = ranges(self.cells[cells[part]], self.cells[cells[part] + 1])
-            row = place[block[part]][cell] * BLOCK + self.rows[postings] % BLOCK
-            scores = scores + np.bincount(row, weight[part][cell] * self.weights[postings], scores.size)
-            found = np.flatnonzero((scores > 0) & (scores >= least))
-            docs = chosen[found // BLOCK] * BLOCK + found % BLOCK
-            best = self.top(np.concatenate([best[0], scores[found]]), np.concatenate([best[1], self.ids[docs]]), k)
-            begin, n = begin + n, n * GROWTH
-        return best
-
-    @staticmethod
-    def top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((ids, -scores))[:k]
-        return scores[order], ids[order]
+        at[self.terms[at] != queries.terms] = -1
+        for begin in range(0, len(queries.ids), BATCH):
+            self._search(queries, range(begin, min(begin + BATCH, len(queries.ids))), at, k, best)
+
+    def _search(self, queries: Queries, batch: range, places: np.ndarray, k: int, best: list) -> None:
+        left = []
+        for q in batch:
+            part = slice(queries.starts[q], queries.starts[q + 1])
+            at = places[queries.places[part]]
+            here = at >= 0
+            at, weights = at[here], queries.weights[part][here]
+            if not len(at):
+                continue
+            common = self.common[at]
+            dense = common >= 0
+            rare, common, weight = at[~dense], common[dense], weights[dense]
+            # scores by rare words; the bound of a block by common words says which blocks can reach the k-th score
+            scores = np.zeros(len(self.ids))
+            if len(rare):
+                first, last = self.starts[rare], self.starts[rare + 1]
+                met = np.concatenate([self.postings[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]).view(POSTING)
+                scores = np.bincount(met["row"], met["weight"] * np.repeat(weights[~dense], last - first), len(self.ids))
+            bounds = scores + np.repeat(weight @ self.table_most[common], BLOCK)[:len(self.ids)]
+            least = best[q][0][k - 1] if len(best[q][0]) >= k else 0.0
+            docs = np.flatnonzero((bounds * (1 + self.share) >= least) & (bounds > 0))
+            if len(docs) <= FEW:
+                self._add(best, q, docs, at, weights, k)
+            else:
+                left.append((q, docs, at, weights, common, weight, scores, least))
+        if not left:
+            return
+        asked = np.zeros((len(left), len(self.table)), np.float32)
+        for i, (_, _, _, _, common, weight, _, _) in enumerate(left):
+            asked[i, common] = weight
+        for (q, docs, at, weights, _, _, scores, least), found in zip(left, asked @ self.table, strict=True):
+            scores = (scores + found)[docs]
+            # the k-th of these scores, less what they may be wrong by, is reached by k documents
+            if len(docs) > k:
+                least = max(least, np.partition(scores, -k)[-k] * (1 - self.share))
+            self._add(best, q, docs[(scores * (1 + self.share) >= least) & (scores > 0)], at, weights, k)
+
+    def _add(self, best: list, q: int, docs: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int) -> None:
+        if len(docs):
+            scores = np.concatenate([best[q][0], self.scores(docs, at, weights)])
+            ids = np.concatenate([best[q][1], self.ids[docs]])
+            order = np.lexsort((ids, -scores))[:k]
+            order = order[scores[order] > 0]
+            best[q] = scores[order], ids[order]
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -225,21 +259,22 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     n_tasks = 2 * spark.sparkContext.defaultParallelism
     parts = []
     for i in range(n_blocks):
-        rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).collect()
-        block = spark.sparkContext.broadcast(
-            [(r.query_id, np.array(r.terms, np.int64), np.array(r.weights)) for r in rows])
+        rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).toArrow().combine_chunks()
+        terms, weights = (pa.concat_arrays(rows[c].chunks or [pa.array([], rows[c].type)]) for c in ("terms", "weights"))
+        starts = np.append(0, np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False)))
+        block = spark.sparkContext.broadcast(Queries(
+            rows["query_id"].to_numpy(), starts, terms.flatten().to_numpy(), weights.flatten().to_numpy()))
 
         def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             none = np.zeros(0), np.zeros(0, np.int64)
-            best = [none] * len(block.value)
+            best = [none] * len(block.value.ids)
             for batch in batches:
                 for r in range(batch.num_rows):
                     shard = Shard({c: batch.column(j)[r].as_py() for j, c in enumerate(columns)}, mean_words)
-                    for q, (_, terms, weights) in enumerate(block.value):
-                        best[q] = shard.search(terms, weights, k, best[q])
+                    shard.search(block.value, k, best)
             sizes = [len(b[0]) for b in best]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array([q[0] for q in block.value], np.int64), sizes)),
+                [pa.array(np.repeat(block.value.ids, sizes)),
                  pa.array(np.concatenate([*(b[1] for b in best), none[1]])),
                  pa.array(np.concatenate([*(b[0] for b in best), none[0]]))], ["query_id", "doc_id", "score"])
 

@@ -154,6 +154,51 @@ def test_search_cases(spark, messy, nothing):
     assert search.search(messy, queries.limit(0)).count() == 0
 
 
+def test_search_of_many_shards_and_batches_puts_equal_documents_in_order_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_WORDS", 1500)
+    monkeypatch.setattr(search, "COMMON", 6)
+    r = random.Random(21)
+    texts = [" ".join(f"w{int(r.paretovariate(0.6)) % 900}" for _ in range(r.randrange(5, 60))) for _ in range(60)]
+    docs = [(i * 7 % 601, texts[i % 60]) for i in range(601)]  # ten copies of each, dealt over the shards
+    queries = [(i, texts[i % 60] + f" w{i}") for i in range(300)]
+    rows = search.search(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                         spark.createDataFrame(queries, "query_id long, text string"), k=8).collect()
+    bags = [(i, collections.Counter(decontaminate.words(t))) for i, t in docs]
+    df = collections.Counter(w for _, b in bags for w in b)
+    mean = sum(b.total() for _, b in bags) / len(bags)
+    idf = {w: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    for q, text in queries[::7]:
+        asked = collections.Counter(decontaminate.words(text))
+        found = [(i, sum(n * idf[w] * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * b.total() / mean)) for w, n in asked.items() if w in b))
+                 for i, b in bags]
+        want = sorted((-round(score, 9), i) for i, score in found if score > 0)[:8]
+        got = sorted((x.rank, x.doc_id, x.score) for x in rows if x.query_id == q)
+        assert [g[1] for g in got] == [w[1] for w in want]
+        assert np.allclose([g[2] for g in got], [-w[0] for w in want])
+
+
+def test_search_meets_the_table_of_common_words_once_a_batch():
+    r = random.Random(22)
+    words = [np.array([r.randrange(1, 120) for _ in range(80)], np.uint64) for _ in range(500)]
+    shard = search.Shard(search.build_shard(list(range(500)), words), 80.0)
+    met = []
+
+    class Counted(np.ndarray):
+        def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
+            if ufunc is np.matmul:
+                met.append(inputs[0].shape)
+            return getattr(ufunc, method)(*[np.asarray(x) for x in inputs], **kwargs)
+
+    shard.table = shard.table.view(Counted)
+    terms = [np.unique(w) for w in words[:300]]
+    asked = search.Queries(np.arange(300), np.append(0, np.cumsum([len(t) for t in terms])),
+                           np.concatenate(terms).view(np.int64), np.ones(sum(map(len, terms))))
+    best = [(np.zeros(0), np.zeros(0, np.int64))] * 300
+    shard.search(asked, 5, best)
+    assert [b[1][0] for b in best] == list(range(300))
+    assert [n for n, _ in met] == [search.BATCH, 300 - search.BATCH]
+
+
 def near_copies(docs, ids):
     """Copies of the documents in which every tenth word is another one."""
     texts = {r.doc_id: r.text for r in docs.where(docs["doc_id"].isin(ids)).collect()}
