@@ -226,6 +226,28 @@ def test_blocks_of_a_fit_do_not_follow_the_shuffle_partitions(spark, monkeypatch
     assert asked == [(4, 4), (6, 6)]
 
 
+def test_blocks_of_a_large_fit_are_bounded_and_wait_on_disk(spark, monkeypatch):
+    asked = []
+
+    class Recorded(recommend.ALS):
+        def fit(self, ratings):
+            asked.append((self.getNumUserBlocks(), self.getNumItemBlocks(), self.getIntermediateStorageLevel()))
+
+    class Ratings:
+        sparkSession = spark
+        rows = 216_000_000
+
+        def count(self):
+            return self.rows
+
+    monkeypatch.setattr(recommend, "ALS", Recorded)
+    ratings = Ratings()
+    recommend.fit_als(ratings)
+    ratings.rows = 600_000
+    recommend.fit_als(ratings)
+    assert asked == [(5, 5, "DISK_ONLY"), (4, 4, "DISK_ONLY")]
+
+
 def test_ratings_are_joined_once_and_hot_keys_sought_in_stored_rows(spark, monkeypatch):
     data = [("hot" if i % 3 else f"u{i}", f"i{i % 7}", float(1 + i % 5)) for i in range(200)]
     sought, found = [], joins.hot_keys
