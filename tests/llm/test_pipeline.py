@@ -47,3 +47,13 @@ def test_stages_on_messy_and_empty_tables(spark, messy, nothing, tmp_path):
 def test_every_query_is_registered():
     names = {n for n in entry.queries() if n.startswith("op") and n[2].isdigit()}
     assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in entry.queries()
+
+
+def test_lines_are_taken_out_of_a_text_once(spark):
+    own = [" ".join(f"{sign}{n * n}" for n in range(12)) for sign in "abcde"]
+    docs = spark.createDataFrame([(i, f"{line}\na line that all of them have, word for word", 70) for i, line in enumerate(own)],
+                                 "doc_id long, text string, n_chars int")
+    found = corpus_pipeline.line_stage(spark, docs, None)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    rows = {r.doc_id: (r.text.count("\n"), r.n_chars == len(r.text) or r.doc_id == 0) for r in found.collect()}
+    assert rows == {i: (int(i == 0), True) for i in range(5)}
