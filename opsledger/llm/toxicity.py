@@ -523,9 +523,10 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tup
     stored = store(_fitted(known, parcel), "toxicity-model")
     parcel.destroy()
     arrays = {}
-    for head in sorted(r.head for r in stored.select("head").distinct().collect()):      # one array at a time
+    for head, parts in sorted(tuple(r) for r in stored.groupBy("head").agg(F.max("part") + 1).collect()):
         name, kind, shape = head.split(" ")
-        data = b"".join(r.data for r in stored.where(F.col("head") == head).orderBy("part").collect())
+        # one part at a time: the driver's JVM holds several copies of what it passes on
+        data = b"".join(r.data for i in range(parts) for r in stored.where((F.col("head") == head) & (F.col("part") == i)).collect())
         arrays[name] = (np.frombuffer(data, kind) if data else np.zeros(0, kind)).reshape([int(n) for n in shape.split(",")])
     return arrays, terms[1]
 

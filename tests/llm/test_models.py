@@ -154,6 +154,26 @@ def test_search_cases(spark, messy, nothing):
     assert search.search(messy, queries.limit(0)).count() == 0
 
 
+def test_the_fitted_model_reaches_the_driver_part_by_part(spark, monkeypatch):
+    r = random.Random(31)
+    docs = spark.createDataFrame([(i, " ".join(r.choice("abcdefgh") * r.randrange(1, 5) for _ in range(20)) + " vile" * (i % 3 == 0)) for i in range(60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    want, terms = toxicity.fitted(docs, labels)
+    asked, collect = [], type(docs).collect
+
+    def counted(frame):
+        rows = collect(frame)
+        asked.append(sum(len(row.data) for row in rows if "data" in row))
+        return rows
+
+    monkeypatch.setattr(toxicity, "PART_BYTES", 1000)
+    monkeypatch.setattr(type(docs), "collect", counted)
+    got, same_terms = toxicity.fitted(docs, labels)
+    assert 0 < max(asked) <= 1000 < max(x.nbytes for x in got.values())
+    assert same_terms == terms and got.keys() == want.keys() and all(np.array_equal(got[n], want[n]) for n in want)
+
+
 def test_search_of_many_shards_and_batches_puts_equal_documents_in_order_of_ids(spark, monkeypatch):
     monkeypatch.setattr(search, "SHARD_WORDS", 1500)
     monkeypatch.setattr(search, "COMMON", 6)
